@@ -267,7 +267,8 @@ def corr_7d(spark, sf):
 
 
 def pct_change_hist(spark, sf):
-    rows = price_before(_silver(spark, sf), "price_24h_ago")
+    prices = settle(_silver(spark, sf).select("symbol", "observed_at", "price_usd"), "prices")
+    rows = price_before(prices, "price_24h_ago")
     now, then = F.col("price_usd").cast("double"), F.col("price_24h_ago").cast("double")
     change = (now - then) / F.nullif(then, F.lit(0.0)) * 100
     return _rounded(_plain(rows.withColumn("pct_change", change)), "pct_change")

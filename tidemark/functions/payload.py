@@ -25,13 +25,19 @@ def parse(
 
     A wrong-typed or overflowing field becomes NULL and leaves its neighbours
     alone, so one bad number never fails a batch. Decimals are read from the
-    digits of the text, not through a double.
+    digits of the text, not through a double. Text that is no object gives NULLs.
+
+    The document is unpacked by a generator: a filter on a parsed column then
+    stays above it, where otherwise it would be pushed below and parse the text a
+    second time. Filters on other columns still reach the scan.
     """
-    schema = T.StructType([T.StructField(f.key, f.type) for f in fields])
-    parsed = df.withColumn("_doc", F.from_json("payload", schema))
+    schema = T.StructType([T.StructField(f"_{f.column}", f.type) for f in fields])
+    by_key = T.StructType([T.StructField(f.key, f.type) for f in fields])
+    document = F.from_json("payload", by_key).cast(schema)
+    parsed = df.select("*", F.inline(F.array(document)))
     typed = []
     for f in fields:
-        value = F.col(f"_doc.`{f.key}`")
+        value = F.col(f"_{f.column}")
         typed.append((F.upper(value) if f.upper else value).alias(f.column))
     return parsed.select(*typed, *keep)
 

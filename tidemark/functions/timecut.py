@@ -36,8 +36,8 @@ def within(df: DataFrame, ts: str, as_of: str | dt.datetime, span: str) -> DataF
 
 def slot(ts: Column, minutes: int) -> Column:
     """Start of the capture slot a time falls into (slots count from the epoch)."""
-    width = minutes * 60
-    return F.timestamp_seconds(F.floor(F.unix_seconds(ts) / width) * width)
+    seconds = F.unix_seconds(ts)
+    return F.timestamp_seconds(seconds - F.pmod(seconds, F.lit(minutes * 60)))
 
 
 def iso_utc(ts: Column) -> Column:

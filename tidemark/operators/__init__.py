@@ -7,6 +7,7 @@ from .expectations import (
     enforce,
     failed_rules,
     keep,
+    keeps,
     observe,
     observed_report,
     report,
@@ -23,6 +24,7 @@ __all__ = [
     "enforce",
     "failed_rules",
     "keep",
+    "keeps",
     "latest_per_key",
     "observe",
     "observed_report",

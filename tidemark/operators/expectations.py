@@ -27,7 +27,8 @@ class Expectation:
         return F.coalesce(F.expr(self.condition), F.lit(False))
 
 
-def _keeps(rules: Iterable[Expectation]) -> Column:
+def keeps(rules: Iterable[Expectation]) -> Column:
+    """True where a row passes all drop expectations."""
     return reduce(and_, [r.passes() for r in rules if r.action == "drop"], F.lit(True))
 
 
@@ -39,7 +40,7 @@ def failed_rules(rules: Iterable[Expectation]) -> Column:
 def _counters(rules: Sequence[Expectation]) -> list[Column]:
     return [
         F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(~_keeps(rules)).alias("rows_dropped"),
+        F.count_if(~keeps(rules)).alias("rows_dropped"),
         *[F.count_if(~r.passes()).alias(r.name) for r in rules],
     ]
 
@@ -55,7 +56,7 @@ def observe(df: DataFrame, rules: Sequence[Expectation], metrics: str | Observat
 
 def keep(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame:
     """Remove rows that fail a drop expectation."""
-    return df.where(_keeps(rules))
+    return df.where(keeps(rules))
 
 
 def enforce(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,34 +23,32 @@ def price_before(
     is the last value there up to the target, or else the closing value of the
     nearest earlier slot. Only one closing value per key and slot is carried
     along the key's timeline. Rows must be unique per (key, ts), with neither NULL.
+    `df` is read twice: pass a stored table.
     """
     if lag_seconds % slot_seconds:
         raise ValueError("slot_seconds must divide lag_seconds")
     lag_micros, slot_micros = lag_seconds * 1_000_000, slot_seconds * 1_000_000
 
-    def slot_of(micros):
-        return F.floor(micros / slot_micros)
+    def entry(kind: int, micros: Column, fact: Column) -> Column:
+        start = micros - F.pmod(micros, F.lit(slot_micros))
+        return F.struct(
+            start.alias("_slot"), micros.alias("_at"), F.lit(kind).alias("_kind"), fact.alias("_fact")
+        )
 
-    micros = F.unix_micros(F.col(ts))
-    facts = df.select(
+    micros = F.unix_micros(ts)
+    known = F.struct(F.col(value).alias("v"))
+    # Every row is a fact at its own time and a probe at its target time.
+    both = df.select(
         F.col(key).alias("_key"),
-        slot_of(micros).alias("_slot"),
-        micros.alias("_at"),
-        F.lit(0).alias("_kind"),
-        F.struct(F.col(value).alias("v")).alias("_fact"),
-        F.lit(None).cast(df.schema[ts].dataType).alias("_ts"),
-        F.lit(None).cast(df.schema[value].dataType).alias("_now"),
-    )
-    probes = df.select(
-        F.col(key).alias("_key"),
-        slot_of(micros - lag_micros).alias("_slot"),
-        (micros - lag_micros).alias("_at"),
-        F.lit(1).alias("_kind"),
-        F.lit(None).cast(facts.schema["_fact"].dataType).alias("_fact"),
         F.col(ts).alias("_ts"),
         F.col(value).alias("_now"),
+        F.inline(
+            F.array(
+                entry(0, micros, known),
+                entry(1, micros - F.lit(lag_micros), F.when(F.lit(False), known)),
+            )
+        ),
     )
-    both = facts.unionAll(probes)
     in_slot = Window.partitionBy("_key", "_slot").orderBy("_at", "_kind")
     found = both.withColumn("_found", F.last("_fact", ignorenulls=True).over(in_slot)).where("_kind = 1")
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import not_an_object, rescued
-from ..operators.expectations import Expectation, failed_rules
+from ..operators.expectations import Expectation, keeps
 from ..schemas import PAYLOAD_FIELDS, PayloadField
 from ..sources.landing import STAMP_KEY, capture_time
 
@@ -58,8 +58,7 @@ def with_lineage(
 
 def verdict(bronze: DataFrame) -> DataFrame:
     """Mark rows 'kept' or 'rejected', to store both in one pass over the input."""
-    rejected = F.size(failed_rules(RULES)) > 0
-    return bronze.withColumn("verdict", F.when(rejected, "rejected").otherwise("kept"))
+    return bronze.withColumn("verdict", F.when(keeps(RULES), "kept").otherwise("rejected"))
 
 
 def kept(stored: DataFrame) -> DataFrame:
@@ -75,7 +74,7 @@ def quarantine(bronze: DataFrame) -> DataFrame:
     """
     symbol = F.get_json_object("payload", "$.symbol")
     reason = (
-        F.when(F.size(failed_rules(RULES)) > 0, RULES[0].name)
+        F.when(~keeps(RULES), RULES[0].name)
         .when(symbol.isNull() & not_an_object(F.col("payload")), "unparseable")
         .when(symbol.isNull(), "symbol_not_null")
     )
