@@ -186,7 +186,7 @@ def late_data(spark, sf):
     raw = feed.bronze(spark, sf)
     late = F.get_json_object("payload", "$.name") == "error"
     first = F.col("snapshot_id") < F.lit(HALFWAY).cast("timestamp")
-    waves = raw.withColumn("dt", F.to_date("snapshot_id")).withColumn("verdict", F.lit("kept"))
+    waves = bronze.verdict(raw)
     path = fresh_path(spark, "waves")
     for wave in (~late & first, ~late & ~first, late):
         waves.where(wave).coalesce(1).write.mode("append").parquet(path)

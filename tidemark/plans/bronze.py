@@ -63,7 +63,7 @@ def verdict(bronze: DataFrame) -> DataFrame:
 
 def kept(stored: DataFrame) -> DataFrame:
     """The accepted rows of the stored table; only their folders are read."""
-    return stored.where("verdict = 'kept'").drop("verdict", "dt")
+    return stored.where("verdict = 'kept'").drop("verdict")
 
 
 def quarantine(bronze: DataFrame) -> DataFrame:
