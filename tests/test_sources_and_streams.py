@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import medallion, session
 from tidemark.operators import dedup_stream
-from tidemark.plans import bronze, gold, silver
+from tidemark.plans import bronze, gold, reports, silver
 from tidemark.sources import (
     current_version,
     read_current,
@@ -17,6 +17,7 @@ from tidemark.sources import (
     read_table,
     refresh,
     register,
+    save_clustered_table,
     stream_landing,
     write_clustered,
     write_landing,
@@ -356,3 +357,53 @@ def test_updates_step_by_step_equal_a_full_refresh(spark, tmp_path):
     assert views[0] == views[1] and len(views[0]) == 3
     silver_rows = medallion.silver_table(spark, step)
     assert gold.momentum(silver_rows, as_of).count() == 3
+
+
+def test_views_serve_sql_and_old_versions_go(spark, tmp_path):
+    landing = str(tmp_path / "in")
+    layout = medallion.Layout(str(tmp_path / "tables"))
+    for day in (28, 29, 30):
+        for hour, price in (("10", 1.0), ("11", 2.0)):
+            rows = capture(f"2024-01-{day}T{hour}:00:00Z", "btc", "eth", price=price, price_change_percentage_24h=day - 29)
+            land(landing, "a.jsonl", rows, f"2024-01-{day}", hour)
+    register(spark)
+    raw = spark.readStream.format("snapshot_files").option("source", "s").load(landing)
+    medallion.run(spark, landing, layout, "s", "2024-01-30 12:00:00", raw=raw)
+    for _ in range(3):
+        medallion.refresh_views(spark, layout, "2024-01-30 12:00:00", keep_versions=2)
+    assert sorted(os.listdir(layout.table("momentum"))) == ["v=000000000003", "v=000000000004"]
+    medallion.create_views(spark, layout, prefix="md_")
+    one = lambda text, **args: [tuple(r) for r in spark.sql(text, args=args).collect()]
+    assert one(
+        "SELECT symbol, momentum_rank FROM md_momentum WHERE momentum_rank <= 10 ORDER BY momentum_rank, symbol"
+    ) == [("BTC", 1), ("ETH", 1)]
+    assert one("SELECT symbol, n_observations FROM md_volatility ORDER BY realized_volatility_7d DESC, symbol LIMIT 1") == [("BTC", 3)]
+    assert one("SELECT pct_change_24h FROM md_momentum WHERE UPPER(symbol) = UPPER(:coin)", coin="btc") == [(1.0,)]
+    assert one("SELECT COUNT(*), MAX(observed_at) FROM md_silver") == [(12, dt.datetime(2024, 1, 30, 11))]
+    assert one("SELECT COUNT(*) FROM md_bronze") == [(12,)]
+
+
+def test_clustered_catalogue_table(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS clustered_check LOCATION '{tmp_path}/db'")
+    df = spark.sql("SELECT 'a' AS symbol, TIMESTAMP '2024-01-30 10:00:00' AS observed_at, 1 AS x")
+    save_clustered_table(df, "clustered_check.prices")
+    assert spark.table("clustered_check.prices").select("symbol", "x").collect() == df.select("symbol", "x").collect()
+    detail = spark.sql("DESCRIBE EXTENDED clustered_check.prices").collect()
+    assert any("symbol" in str(r) and "luster" in str(r) for r in detail)
+
+
+def test_rescued_sample_looks_only_at_rescued_rows(spark, tmp_path):
+    land(tmp_path, "a.jsonl", capture("2024-01-30T10:00:00Z", *"abcdefgh") + capture("2024-01-30T10:00:00Z", *"stuvwxyz", new=1))
+    sample = reports.rescued_sample(bronze.with_lineage(read_landing(spark, str(tmp_path))))
+    assert [r[0] for r in sample.collect()] == ['{"new":"1"}'] * 5
+
+
+def test_summary_tells_when_progress_was_cut(spark, tmp_path):
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        source = waves(spark, tmp_path, *[[("a", f"2024-01-30 1{h}:00:00")] for h in range(4)])
+        assert drain(source, tmp_path, "cut").complete is False
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+    assert drain(source, tmp_path, "whole").complete is True

@@ -10,10 +10,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .plans import bronze, gold, monitors
 from .schemas import MOMENTUM, SILVER, VOLATILITY
-from .session import pin_utc
+from .session import fresh_path, pin_utc
 from .sources.landing import stream_landing
-from .sources.tables import DAY, read_current, read_table, refresh, stored
-from .streaming.runs import RunSummary, bronze_stream, finish, quarantine_stream, silver_stream
+from .sources.tables import (
+    DAY,
+    delete_folder,
+    drop_old_versions,
+    read_current,
+    read_table,
+    refresh,
+    stored,
+)
+from .streaming.runs import (
+    BRONZE_STORED,
+    RunSummary,
+    bronze_stream,
+    finish,
+    quarantine_stream,
+    silver_stream,
+)
 
 SILVER_STORED = stored(SILVER, DAY)
 
@@ -41,6 +56,10 @@ class Update:
     on_time: bool
 
 
+def bronze_table(spark: SparkSession, layout: Layout) -> DataFrame:
+    return bronze.kept(read_table(spark, layout.table("bronze"), BRONZE_STORED))
+
+
 def silver_table(spark: SparkSession, layout: Layout) -> DataFrame:
     return read_table(spark, layout.table("silver"), SILVER_STORED)
 
@@ -53,6 +72,34 @@ def volatility_view(spark: SparkSession, layout: Layout) -> DataFrame:
     return read_current(spark, layout.table("volatility"), stored(VOLATILITY))
 
 
+def create_views(spark: SparkSession, layout: Layout, prefix: str = "") -> None:
+    """Name the current tables for SQL: bronze, silver, momentum, volatility.
+
+    A view keeps the version it was created on; create it again after an update.
+    """
+    tables = {
+        "bronze": bronze_table,
+        "silver": silver_table,
+        "momentum": momentum_view,
+        "volatility": volatility_view,
+    }
+    for name, table in tables.items():
+        table(spark, layout).createOrReplaceTempView(f"{prefix}{name}")
+
+
+def refresh_views(
+    spark: SparkSession, layout: Layout, as_of: str | dt.datetime, keep_versions: int = 96
+) -> None:
+    """Recompute the views from the typed table. A day of quarter-hour versions is kept."""
+    silver = silver_table(spark, layout)
+    staging = fresh_path(spark, "momentum")
+    refresh(gold.momentum(silver, as_of, staging=staging), layout.table("momentum"))
+    delete_folder(spark, staging)
+    refresh(gold.volatility(silver, as_of), layout.table("volatility"))
+    for view in ("momentum", "volatility"):
+        drop_old_versions(spark, layout.table(view), keep_versions)
+
+
 def run(
     spark: SparkSession,
     landing: str,
@@ -86,8 +133,6 @@ def run(
     )
     finish(rejects)
 
-    silver = silver_table(spark, layout)
-    refresh(gold.momentum(silver, as_of), layout.table("momentum"))
-    refresh(gold.volatility(silver, as_of), layout.table("volatility"))
+    refresh_views(spark, layout, as_of)
     seconds = time.monotonic() - began
     return Update(taken, typed, seconds, seconds <= monitors.LATENCY_SECONDS)

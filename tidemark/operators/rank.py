@@ -17,6 +17,7 @@ def rank_descending(
     name: str,
     single_task_rows: int = SINGLE_TASK_ROWS,
     slices: int | None = None,
+    staging: str | None = None,
 ) -> DataFrame:
     """Add RANK() OVER (ORDER BY value DESC NULLS LAST) as BIGINT column `name`.
 
@@ -27,14 +28,14 @@ def rank_descending(
     rows with higher values in its own range. Equal values are one row by then,
     so ties cannot overload a range.
     """
-    rows = settle(df, "rank-rows")
+    rows = settle(df, "rank-rows", staging)
     total = rows.count()
     descending = F.col(value).desc_nulls_last()
     if total <= single_task_rows:
         return rows.withColumn(name, F.rank().over(Window.orderBy(descending)).cast("bigint"))
 
     slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranks = settle(_value_ranks(rows, value, slices), "rank-values")
+    ranks = settle(_value_ranks(rows, value, slices, staging), "rank-values", staging)
 
     # Fewer than `slices` values can each hold more than a 1/slices share of the
     # rows, so this side is bounded whatever the data; the others join by shuffle.
@@ -55,7 +56,7 @@ def rank_descending(
     return by_broadcast.unionAll(by_shuffle)
 
 
-def _value_ranks(rows: DataFrame, value: str, slices: int) -> DataFrame:
+def _value_ranks(rows: DataFrame, value: str, slices: int, staging: str | None) -> DataFrame:
     """(_value, _rows, _rank) for every distinct value."""
     counts = rows.groupBy(F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
     descending = F.col("_value").desc_nulls_last()
@@ -63,6 +64,7 @@ def _value_ranks(rows: DataFrame, value: str, slices: int) -> DataFrame:
     sliced = settle(
         counts.repartitionByRange(slices, descending).withColumn("_slice", F.spark_partition_id()),
         "rank-slices",
+        staging,
     )
     # One row per slice: `slices` rows at most.
     above = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -28,6 +28,7 @@ def momentum(
     as_of: AsOf,
     single_task_rows: int = SINGLE_TASK_ROWS,
     slices: int | None = None,
+    staging: str | None = None,
 ) -> DataFrame:
     """Latest row per symbol with its rank by 24-hour change: ties share a rank, NULLs last."""
     columns = [c for c in MOMENTUM.names if c != "momentum_rank"]
@@ -37,6 +38,7 @@ def momentum(
         "momentum_rank",
         single_task_rows,
         slices,
+        staging,
     )
     return conform(ranked.withColumn("momentum_rank", F.col("momentum_rank").cast("int")), MOMENTUM)
 

@@ -66,12 +66,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
+def settle(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write `df` once to the shared folder and return a scan of what was written.
 
     The result has no lineage, survives lost executors, is the same on every
-    read, and lets later steps read only the columns they need.
+    read, and lets later steps read only the columns they need. A caller that
+    wants to delete it afterwards names the folder.
     """
-    path = fresh_path(df.sparkSession, label)
+    spark = df.sparkSession
+    path = f"{folder}/{label}" if folder else fresh_path(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

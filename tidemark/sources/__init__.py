@@ -5,9 +5,11 @@ from .snapshot_files import SnapshotFiles, register
 from .tables import (
     append_stream,
     current_version,
+    drop_old_versions,
     read_current,
     read_table,
     refresh,
+    save_clustered_table,
     stream_table,
     write_clustered,
 )
@@ -16,11 +18,13 @@ __all__ = [
     "SnapshotFiles",
     "append_stream",
     "current_version",
+    "drop_old_versions",
     "read_current",
     "read_landing",
     "read_table",
     "refresh",
     "register",
+    "save_clustered_table",
     "stream_landing",
     "stream_table",
     "write_clustered",

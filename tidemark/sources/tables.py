@@ -22,6 +22,18 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    """(file system, path) of a folder, whatever store it is on."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder this package has written, if it is there."""
+    files, folder = _files(spark, path)
+    files.delete(folder, True)
+
+
 def stream_table(
     spark: SparkSession, path: str, schema: StructType, max_files: int | None = None
 ) -> DataFrame:
@@ -47,27 +59,24 @@ def append_stream(
     )
 
 
-def write_clustered(
-    df: DataFrame,
-    path: str,
-    key: str = "symbol",
-    ts: str = "observed_at",
-    mode: str = "errorifexists",
-) -> None:
-    """Write day partitions whose files hold narrow ranges of (key, time).
+def clustered(df: DataFrame, key: str = "symbol", ts: str = "observed_at") -> DataFrame:
+    """Rows with their day, in tasks that hold narrow ranges of (day, key, time).
 
     Ranges include the time, so one key with a third of all rows still spreads
     over many tasks, and file statistics serve filters on either column.
     """
     layout = ("dt", key, ts)
-    (
-        df.withColumn("dt", F.to_date(ts))
-        .repartitionByRange(*layout)
-        .sortWithinPartitions(*layout)
-        .write.mode(mode)
-        .partitionBy("dt")
-        .parquet(path)
-    )
+    return df.withColumn("dt", F.to_date(ts)).repartitionByRange(*layout).sortWithinPartitions(*layout)
+
+
+def write_clustered(df: DataFrame, path: str, mode: str = "errorifexists", **columns: str) -> None:
+    """Write day folders of clustered files."""
+    clustered(df, **columns).write.mode(mode).partitionBy("dt").parquet(path)
+
+
+def save_clustered_table(df: DataFrame, name: str, key: str = "symbol", **columns: str) -> None:
+    """The same as a catalogue table that also declares its clustering column."""
+    clustered(df, key, **columns).write.clusterBy(key).format("parquet").saveAsTable(name)
 
 
 # A view's contents live in numbered folders. A folder counts once Spark has put
@@ -76,16 +85,12 @@ def write_clustered(
 
 def _versions(spark: SparkSession, root: str) -> list[tuple[int, bool]]:
     """(number, complete) of the version folders."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(root)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, folder = _files(spark, root)
     if not files.exists(folder):
         return []
     names = [s.getPath().getName() for s in files.listStatus(folder)]
     return [
-        (int(n[2:]), files.exists(hadoop.Path(f"{root}/{n}/_SUCCESS")))
-        for n in names
-        if n.startswith("v=")
+        (int(n[2:]), files.exists(_files(spark, f"{root}/{n}/_SUCCESS")[1])) for n in names if n.startswith("v=")
     ]
 
 
@@ -110,3 +115,10 @@ def read_current(spark: SparkSession, root: str, schema: StructType | None = Non
     if number is None:
         raise FileNotFoundError(f"no complete version under {root}")
     return read_table(spark, _version_path(root, number), schema)
+
+
+def drop_old_versions(spark: SparkSession, root: str, keep: int) -> None:
+    """Keep the newest `keep` complete versions, for readers still on an older one."""
+    complete = sorted(n for n, done in _versions(spark, root) if done)
+    for number in complete[: -max(keep, 1)]:
+        delete_folder(spark, _version_path(root, number))

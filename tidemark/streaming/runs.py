@@ -43,7 +43,8 @@ def finish(query: StreamingQuery) -> RunSummary:
     query.awaitTermination()
     seen = query.recentProgress
     limit = SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates")
-    summary = RunSummary(complete=len(seen) < int(limit))
+    # Spark keeps one report fewer than the limit.
+    summary = RunSummary(complete=len(seen) < int(limit) - 1)
     for progress in seen:
         summary.batches += 1
         summary.rows_in += progress.numInputRows
