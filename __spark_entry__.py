@@ -29,6 +29,7 @@ from tidemark.plans import bronze, gold, monitors, reports, silver  # noqa: E402
 from tidemark.schemas import CIRCULATING_SUPPLY, PAYLOAD_FIELDS, PayloadField  # noqa: E402
 from tidemark.session import fresh_path, settle  # noqa: E402
 from tidemark.sources import (  # noqa: E402
+    append_stream,
     read_current,
     read_landing,
     read_table,
@@ -71,6 +72,10 @@ def _volatility(spark: SparkSession, sf: str) -> DataFrame:
     return gold.volatility(_silver(spark, sf, since=WEEK_AGO), AS_OF)
 
 
+def _cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
@@ -172,7 +177,7 @@ def _streamed(spark, sf, **options):
         )
     )
     out = fresh_path(spark, "silver")
-    finish(silver_stream(spark, raw, out, fresh_path(spark, "checkpoint")))
+    finish(silver_stream(spark, raw, out, fresh_path(spark, "checkpoint"), state_partitions=_cores(spark)))
     return read_table(spark, out, medallion.SILVER_STORED)
 
 
@@ -193,13 +198,7 @@ def late_data(spark, sf):
     out = fresh_path(spark, "silver")
     source = spark.readStream.schema(waves.schema).option("maxFilesPerTrigger", 1).parquet(path)
     rows = silver.build_stream(bronze.kept(source))
-    query = (
-        rows.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", fresh_path(spark, "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
+    query = append_stream(rows, out, fresh_path(spark, "checkpoint"), state_partitions=_cores(spark))
     totals = finish(query)
     return read_table(spark, out, medallion.SILVER_STORED).agg(
         F.count(F.lit(1)).alias("kept_rows"),
@@ -299,7 +298,15 @@ def incremental_equals_full(spark, sf):
     def update(name):
         raw = bronze.from_landing(stream_landing(spark, landing), "landed")
         finish(bronze_stream(raw, f"{root}/{name}_raw", f"{root}/_checkpoints/{name}_raw"))
-        finish(silver_stream(spark, f"{root}/{name}_raw", f"{root}/{name}", f"{root}/_checkpoints/{name}"))
+        finish(
+            silver_stream(
+                spark,
+                f"{root}/{name}_raw",
+                f"{root}/{name}",
+                f"{root}/_checkpoints/{name}",
+                state_partitions=_cores(spark),
+            )
+        )
 
     for wave in waves:
         write_landing(wave, landing, "snapshot_id")
@@ -324,7 +331,7 @@ def incremental_equals_full(spark, sf):
 def medallion_update(spark, sf):
     layout = medallion.Layout(fresh_path(spark, "medallion"))
     landing = _landed(spark, sf, slot_minutes=None)
-    medallion.run(spark, landing, layout, "landed", AS_OF)
+    medallion.run(spark, landing, layout, "landed", AS_OF, state_partitions=_cores(spark))
     return _plain(medallion.momentum_view(spark, layout))
 
 

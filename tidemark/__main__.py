@@ -16,6 +16,7 @@ def main() -> None:
     parser.add_argument("--as-of", help="current time for the views (UTC); default: now")
     parser.add_argument("--slot-minutes", type=int, help="join captures of one slot of this width")
     parser.add_argument("--max-files", type=int, help="files per micro-batch during a back-fill")
+    parser.add_argument("--state-partitions", type=int, help="dedup state partitions, fixed at first start")
     args = parser.parse_args()
 
     spark = build_session("tidemark")
@@ -27,6 +28,7 @@ def main() -> None:
         args.as_of,
         args.slot_minutes,
         args.max_files,
+        state_partitions=args.state_partitions,
     )
     print(update)
     spark.stop()

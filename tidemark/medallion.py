@@ -109,6 +109,7 @@ def run(
     slot_minutes: int | None = None,
     max_files: int | None = None,
     raw: DataFrame | None = None,
+    state_partitions: int | None = None,
 ) -> Update:
     """Take in what has landed since the last run and recompute the views.
 
@@ -128,7 +129,12 @@ def run(
     )
     typed = finish(
         silver_stream(
-            spark, layout.table("bronze"), layout.table("silver"), layout.checkpoint("silver"), max_files
+            spark,
+            layout.table("bronze"),
+            layout.table("silver"),
+            layout.checkpoint("silver"),
+            max_files,
+            state_partitions,
         )
     )
     finish(rejects)

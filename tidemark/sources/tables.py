@@ -45,18 +45,36 @@ def stream_table(
 
 
 def append_stream(
-    df: DataFrame, path: str, checkpoint: str, partition_by: tuple[str, ...] = (), fmt: str = "parquet"
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    partition_by: tuple[str, ...] = (),
+    fmt: str = "parquet",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Append whatever is available now, exactly once, then stop."""
-    return (
+    """Append whatever is available now, exactly once, then stop.
+
+    A checkpoint keeps the number of state partitions of its first start;
+    `state_partitions` sets it for this stream alone.
+    """
+    writer = (
         df.writeStream.format(fmt)
         .outputMode("append")
         .partitionBy(*partition_by)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    if state_partitions is None:
+        return writer.start()
+    # A stream copies the session's settings when it starts.
+    settings, name = df.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = settings.get(name)
+    settings.set(name, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        settings.set(name, before)
 
 
 def clustered(df: DataFrame, key: str = "symbol", ts: str = "observed_at") -> DataFrame:

@@ -1,8 +1,4 @@
-"""Streaming writers. Each run takes what is available and stops.
-
-A checkpoint fixes the number of shuffle partitions of its dedup state, so set
-`spark.sql.shuffle.partitions` for the expected volume before the first start.
-"""
+"""Streaming writers. Each run takes what is available and stops."""
 
 from __future__ import annotations
 
@@ -76,12 +72,17 @@ def silver_stream(
     path: str,
     checkpoint: str,
     max_files: int | None = None,
+    state_partitions: int | None = None,
     **options,
 ) -> StreamingQuery:
-    """Kept raw rows to typed rows, stored by day. Options go to `silver.build_stream`."""
+    """Kept raw rows to typed rows, stored by day. Options go to `silver.build_stream`.
+
+    Choose `state_partitions` for the expected volume: it cannot change later.
+    """
     source = bronze.kept(_bronze_source(spark, bronze_path, max_files))
     rows = silver.build_stream(source, **options)
-    return append_stream(rows.withColumn("dt", F.to_date("observed_at")), path, checkpoint, ("dt",))
+    by_day = rows.withColumn("dt", F.to_date("observed_at"))
+    return append_stream(by_day, path, checkpoint, ("dt",), state_partitions=state_partitions)
 
 
 def quarantine_stream(
