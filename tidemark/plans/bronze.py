@@ -12,6 +12,7 @@ from ..operators.expectations import Expectation, keeps
 from ..schemas import PAYLOAD_FIELDS, PayloadField
 from ..sources.landing import STAMP_KEY, capture_time
 
+# Name, condition and action of the check.
 RULES = (Expectation("non_empty_payload", "payload IS NOT NULL AND length(payload) > 10", "drop"),)
 
 
@@ -70,16 +71,14 @@ def quarantine(bronze: DataFrame) -> DataFrame:
     """Rows no typed table can use, each with the reason. The payload is kept whole.
 
     Stateless, so it serves batches and streams alike. The text is only checked
-    for being an object where no symbol was found.
+    for being an object where no symbol was found. As in `functions.parse`, a
+    generator keeps the filter from computing the reason a second time.
     """
-    symbol = F.get_json_object("payload", "$.symbol")
-    reason = (
-        F.when(~keeps(RULES), RULES[0].name)
-        .when(symbol.isNull() & not_an_object(F.col("payload")), "unparseable")
-        .when(symbol.isNull(), "symbol_not_null")
-    )
+    payload = F.col("payload")
+    no_symbol = F.get_json_object(payload, "$.symbol").isNull()
+    why = F.when(not_an_object(payload), "unparseable").otherwise("symbol_not_null")
+    reason = F.when(~keeps(RULES), RULES[0].name).when(no_symbol, why)
     return (
-        bronze.withColumn("reason", reason)
+        bronze.select("snapshot_id", "source", F.explode(F.array(reason)).alias("reason"), "payload")
         .where("reason IS NOT NULL")
-        .select("snapshot_id", "source", "reason", "payload")
     )

@@ -12,6 +12,7 @@ from ..operators.dedup import KEYS, dedup_batch, dedup_stream
 from ..operators.expectations import Expectation, enforce
 from ..schemas import PAYLOAD_FIELDS, PayloadField
 
+# Names, conditions and actions of the checks.
 RULES = (
     Expectation("price_positive", "price_usd > 0", "warn"),
     Expectation("symbol_not_null", "symbol IS NOT NULL", "drop"),

@@ -29,15 +29,19 @@ def write_landing(rows: DataFrame, path: str, captured_at: str, mode: str = "app
     ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stamp = F.col(captured_at)
     columns = [c for c in rows.columns if c != captured_at]
+    placed = rows.select(
+        "*",
+        F.to_date(stamp).alias("_dt"),
+        F.date_format(stamp, "HH").alias("_hh"),
+        F.spark_partition_id().alias("_split"),
+    ).repartitionByRange(ranges, "_dt", "_hh", "_split")
+    # Text is made after the shuffle: ranges are sampled first, and columns are smaller.
     (
-        rows.select(
+        placed.select(
             to_payload([*columns, iso_utc(stamp).alias(STAMP_KEY)]).alias("value"),
-            F.to_date(stamp).alias("dt"),
-            F.date_format(stamp, "HH").alias("hh"),
-            F.spark_partition_id().alias("_split"),
+            F.col("_dt").alias("dt"),
+            F.col("_hh").alias("hh"),
         )
-        .repartitionByRange(ranges, "dt", "hh", "_split")
-        .drop("_split")
         .write.mode(mode)
         .partitionBy("dt", "hh")
         .text(path)

@@ -7,7 +7,11 @@ objects) beside JSON lines.
 
 Options: path; source (text put on every row); slotMinutes (cut capture times to
 a slot); splitBytes (work per task); settleSeconds (a stream leaves files younger
-than this for its next batch, for stores with coarse file times).
+than this for its next batch).
+
+A stream goes forward by (modification time, path), so a file must not appear with
+a time before those already read. Where times are coarse or files become visible
+some time after they are stamped, set settleSeconds above that delay.
 """
 
 from __future__ import annotations
