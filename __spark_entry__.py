@@ -29,7 +29,6 @@ from tidemark.plans import bronze, gold, monitors, reports, silver  # noqa: E402
 from tidemark.schemas import CIRCULATING_SUPPLY, PAYLOAD_FIELDS, PayloadField  # noqa: E402
 from tidemark.session import fresh_path, settle  # noqa: E402
 from tidemark.sources import (  # noqa: E402
-    append_stream,
     read_current,
     read_landing,
     read_table,
@@ -92,7 +91,8 @@ def _landed(spark: SparkSession, sf: str, **options) -> str:
 def bronze_batch(spark, sf):
     register(spark)
     raw = spark.read.format("snapshot_files").option("source", "landed").load(_landed(spark, sf))
-    return raw.select("snapshot_id", "source", F.get_json_object("payload", "$.event_id").cast("bigint").alias("event_id"), "payload")
+    event_id = F.get_json_object("payload", "$.event_id").cast("bigint")
+    return raw.select("snapshot_id", "source", event_id.alias("event_id"), "payload")
 
 
 def bronze_stream_files(spark, sf):
@@ -106,8 +106,9 @@ def bronze_stream_files(spark, sf):
 def bronze_explode(spark, sf):
     # One response holds a page of at most 100 objects of one capture.
     rows = feed.rows(spark, sf)
+    page = F.floor(F.col("event_id") / 100).alias("page")
     pages = (
-        rows.select("snapshot_id", F.floor(F.col("event_id") / 100).alias("page"), feed.payload(rows).alias("p"))
+        rows.select("snapshot_id", page, feed.payload(rows).alias("p"))
         .groupBy("snapshot_id", "page")
         .agg(F.concat(F.lit("["), F.array_join(F.collect_list("p"), ","), F.lit("]")).alias("response"))
     )
@@ -118,7 +119,10 @@ def bronze_explode(spark, sf):
 def landing_roundtrip(spark, sf):
     lines = read_landing(spark, _landed(spark, sf, slot_minutes=None))
     return lines.select(
-        capture_time().alias("snapshot_id"), F.col("dt").cast("string").alias("dt"), "hh", F.col("value").alias("payload")
+        capture_time().alias("snapshot_id"),
+        F.col("dt").cast("string").alias("dt"),
+        "hh",
+        F.col("value").alias("payload"),
     )
 
 
@@ -187,25 +191,23 @@ def silver_stream_dedup(spark, sf):
 
 
 def late_data(spark, sf):
-    # Two halves in time order, then every error event, most of it long overdue.
-    raw = feed.bronze(spark, sf)
+    # Three runs: two halves in time order, then every error event, most of it long overdue.
+    raw = bronze.verdict(feed.bronze(spark, sf))
     late = F.get_json_object("payload", "$.name") == "error"
     first = F.col("snapshot_id") < F.lit(HALFWAY).cast("timestamp")
-    waves = bronze.verdict(raw)
-    path = fresh_path(spark, "waves")
+    path, out = fresh_path(spark, "bronze"), fresh_path(spark, "silver")
+    checkpoint = fresh_path(spark, "checkpoint")
+    rows_in = late_rows = 0
     for wave in (~late & first, ~late & ~first, late):
-        waves.where(wave).coalesce(1).write.mode("append").parquet(path)
-    out = fresh_path(spark, "silver")
-    source = spark.readStream.schema(waves.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    rows = silver.build_stream(bronze.kept(source))
-    query = append_stream(rows, out, fresh_path(spark, "checkpoint"), state_partitions=_cores(spark))
-    totals = finish(query)
+        raw.where(wave).write.mode("append").partitionBy("verdict").parquet(path)
+        run = finish(silver_stream(spark, path, out, checkpoint, state_partitions=_cores(spark)))
+        rows_in, late_rows = rows_in + run.rows_in, late_rows + run.late_rows
     return read_table(spark, out, medallion.SILVER_STORED).agg(
         F.count(F.lit(1)).alias("kept_rows"),
         F.min("observed_at").alias("first_at"),
         F.max("observed_at").alias("last_at"),
-        F.lit(totals.rows_in).cast("bigint").alias("rows_in"),
-        F.lit(totals.late_rows).cast("bigint").alias("late_rows"),
+        F.lit(rows_in).cast("bigint").alias("rows_in"),
+        F.lit(late_rows).cast("bigint").alias("late_rows"),
     )
 
 
@@ -596,12 +598,12 @@ def oracle_sql() -> dict[str, str]:
         "silver_stream": _with_silver(
             "SELECT symbol, observed_at, CAST(observed_at AS DATE) AS dt FROM silver", "event_type"
         ),
-        # Lateness is judged by the watermark of the batch before.
+        # The third run starts with the watermark that the first two have left.
         "late_data": f"""
             WITH feed AS ({_feed_sql()}),
             waves AS (SELECT *, CASE WHEN name = 'error' THEN 3
                                      WHEN snapshot_id < TIMESTAMP '{HALFWAY}' THEN 1 ELSE 2 END AS wave FROM feed),
-            mark AS (SELECT max(snapshot_id) - INTERVAL 1 HOUR AS late_until FROM waves WHERE wave = 1),
+            mark AS (SELECT max(snapshot_id) - INTERVAL 1 HOUR AS late_until FROM waves WHERE wave < 3),
             judged AS (SELECT waves.*, wave = 3 AND snapshot_id <= late_until AS late FROM waves, mark),
             kept AS (SELECT DISTINCT symbol, snapshot_id FROM judged WHERE NOT late)
             SELECT (SELECT count(*) FROM kept) AS kept_rows, (SELECT min(snapshot_id) FROM kept) AS first_at,

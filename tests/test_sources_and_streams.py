@@ -334,6 +334,7 @@ def test_first_capture_of_a_hundred_symbols(spark, tmp_path):
     assert sorted(ranks) == list(range(1, 101))
     assert medallion.volatility_view(spark, layout).count() == 0
     assert update.on_time and update.bronze.rows_in == 100
+    assert (update.drop_rate, update.drop_alert) == (0.0, False)
 
 
 def test_updates_step_by_step_equal_a_full_refresh(spark, tmp_path):

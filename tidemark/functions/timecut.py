@@ -23,8 +23,9 @@ def at_or_before(df: DataFrame, ts: str, as_of: str | dt.datetime) -> DataFrame:
 def within(df: DataFrame, ts: str, as_of: str | dt.datetime, span: str) -> DataFrame:
     """Rows with `as_of - span <= ts <= as_of`, e.g. span = "24 HOURS".
 
-    The bounds fold to literals, so they reach the Parquet scan. A stored table
-    partitioned by `dt` is also pruned to the days the span touches.
+    The bounds fold to literals, so they reach the Parquet scan. A column `dt`
+    must be the UTC day of `ts`: a table stored by it is pruned to the days the
+    span touches.
     """
     end = as_of_column(as_of)
     start = end - F.expr(f"INTERVAL {span}")

@@ -55,6 +55,16 @@ class Update:
     seconds: float
     on_time: bool
 
+    @property
+    def drop_rate(self) -> float:
+        """Share of the typed rows that the drop expectations removed."""
+        counts = self.silver.metrics.get("silver", {})
+        return counts["rows_dropped"] / counts["rows_in"] if counts.get("rows_in") else 0.0
+
+    @property
+    def drop_alert(self) -> bool:
+        return self.drop_rate > monitors.MAX_DROP_RATE
+
 
 def bronze_table(spark: SparkSession, layout: Layout) -> DataFrame:
     return bronze.kept(read_table(spark, layout.table("bronze"), BRONZE_STORED))

@@ -14,6 +14,7 @@ from ..functions import as_of_column, seconds_of, slot
 FRESHNESS_SECONDS = 15 * 60
 LATENCY_SECONDS = 5 * 60
 MIN_SYMBOLS = 100
+MAX_DROP_RATE = 0.05
 CADENCE_MINUTES = 15
 
 
