@@ -43,6 +43,14 @@ from tidemark.sources import event_feed as feed  # noqa: E402
 from tidemark.sources.landing import capture_time  # noqa: E402
 from tidemark.streaming import bronze_stream, finish, silver_stream  # noqa: E402
 
+# The text operators can be taken out with their folders; everything else works without them.
+try:
+    from tidemark.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("tidemark.llm", "corpus_pipeline")):
+        raise
+    llm_queries = None
+
 AS_OF = "2024-01-31 00:00:00"
 DAY_AGO = "2024-01-30 00:00:00"
 WEEK_AGO = "2024-01-24 00:00:00"
@@ -441,7 +449,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **(llm_queries.QUERIES if llm_queries else {})}
 
 
 # SQL twins
@@ -559,6 +567,7 @@ def oracle_sql() -> dict[str, str]:
                count(*) FILTER (pct_change_24h = 0) AS unchanged,
                count(*) FILTER (pct_change_24h IS NULL) AS unknown FROM momentum"""
     return {
+        **(llm_queries.SQL if llm_queries else {}),
         "bronze_batch": feed_only(
             f"SELECT snapshot_id, 'landed' AS source, event_id, {whole_payload} AS payload FROM feed"
         ),
