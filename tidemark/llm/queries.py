@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from tidemark.llm.line_dedup import OP1_SQL, op1_line_dedup
+from tidemark.llm.near_dedup import op4_minhash_near_dedup
 from tidemark.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op9_toxicity": op9_toxicity,
 }
 
