@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from tidemark.llm.decontaminate import OP3_SQL, op3_decontaminate
 from tidemark.llm.line_dedup import OP1_SQL, op1_line_dedup
 from tidemark.llm.near_dedup import op4_minhash_near_dedup
 from tidemark.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_decontaminate": op3_decontaminate,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op9_toxicity": op9_toxicity,
 }
 
 SQL = {
     "op1_line_dedup": OP1_SQL,
+    "op3_decontaminate": OP3_SQL,
 }
