@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm.byte_bpe import op5_byte_bpe
 from tidemark.llm.decontaminate import OP3_SQL, op3_decontaminate
 from tidemark.llm.line_dedup import OP1_SQL, op1_line_dedup
 from tidemark.llm.near_dedup import op4_minhash_near_dedup
@@ -11,6 +12,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op5_byte_bpe": op5_byte_bpe,
     "op9_toxicity": op9_toxicity,
 }
 
