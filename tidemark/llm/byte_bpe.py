@@ -296,9 +296,10 @@ def decode(encoded: DataFrame, tokens: DataFrame) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded binary")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
+def digests(decoded: DataFrame, keep_ids: bool = False) -> DataFrame:
     return decoded.select(
         "doc_id",
+        *(["ids"] if keep_ids else []),
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

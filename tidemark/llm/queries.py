@@ -6,10 +6,12 @@ from tidemark.llm.byte_bpe import op5_byte_bpe
 from tidemark.llm.decontaminate import OP3_SQL, op3_decontaminate
 from tidemark.llm.line_dedup import OP1_SQL, op1_line_dedup
 from tidemark.llm.near_dedup import op4_minhash_near_dedup
+from tidemark.llm.secret_scan import op2_secret_scan
 from tidemark.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_secret_scan": op2_secret_scan,
     "op3_decontaminate": op3_decontaminate,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_byte_bpe": op5_byte_bpe,
