@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.byte_bpe import op5_byte_bpe
 from tidemark.llm.decontaminate import OP3_SQL, op3_decontaminate
+from tidemark.llm.language import op8_language_id
 from tidemark.llm.line_dedup import OP1_SQL, op1_line_dedup
 from tidemark.llm.near_dedup import op4_minhash_near_dedup
 from tidemark.llm.secret_scan import op2_secret_scan
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_byte_bpe": op5_byte_bpe,
+    "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
 }
 
