@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.byte_bpe import op5_byte_bpe
 from tidemark.llm.decontaminate import OP3_SQL, op3_decontaminate
+from tidemark.llm.embedding_dedup import OP10_SQL, op10_embedding_dedup
 from tidemark.llm.language import op8_language_id
 from tidemark.llm.line_dedup import OP1_SQL, op1_line_dedup
 from tidemark.llm.near_dedup import op4_minhash_near_dedup
@@ -18,9 +19,11 @@ QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 SQL = {
     "op1_line_dedup": OP1_SQL,
     "op3_decontaminate": OP3_SQL,
+    "op10_embedding_dedup": OP10_SQL,
 }
