@@ -6,6 +6,7 @@ from tidemark.llm.byte_bpe import op5_byte_bpe
 from tidemark.llm.decontaminate import OP3_SQL, op3_decontaminate
 from tidemark.llm.embedding_dedup import OP10_SQL, op10_embedding_dedup
 from tidemark.llm.language import op8_language_id
+from tidemark.llm.licences import op6_license_scan
 from tidemark.llm.line_dedup import OP1_SQL, op1_line_dedup
 from tidemark.llm.near_dedup import op4_minhash_near_dedup
 from tidemark.llm.secret_scan import op2_secret_scan
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_license_scan": op6_license_scan,
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_embedding_dedup": op10_embedding_dedup,
