@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tidemark.llm.byte_bpe import op5_byte_bpe
 from tidemark.llm.decontaminate import OP3_SQL, op3_decontaminate
 from tidemark.llm.embedding_dedup import OP10_SQL, op10_embedding_dedup
+from tidemark.llm.html_extract import op7_html_extract
 from tidemark.llm.language import op8_language_id
 from tidemark.llm.licences import op6_license_scan
 from tidemark.llm.line_dedup import OP1_SQL, op1_line_dedup
@@ -19,9 +21,11 @@ QUERIES = {
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_license_scan": op6_license_scan,
+    "op7_html_extract": op7_html_extract,
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL = {
