@@ -6,9 +6,8 @@
    the rarest words. Every occurrence of a window shows all of its probes.
 3. Index: postings (word, document, positions) of the probe words, stored.
 4. Lookup: postings join the probes on the word; position minus place in the item
-   is where the item would begin. Lists intersect where several probes of an item
-   agree on that beginning (exact) or lie within `SLOP` words of one another
-   (proximity).
+   is where the item would begin. Lists intersect where two probes of an item agree
+   on that beginning (exact) or, if asked for, nearly do (proximity).
 5. Check: the item's words are compared at each agreed beginning, word by word,
    with the whole text of the document.
 
@@ -29,14 +28,13 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import batches, settle, table, word_bytes
 
 SIZE = 10
-PROBES = 3
+PROBES = 2
 SLOP = 5
 BLOCK_WORDS = 500_000
 BATCH_BYTES = 8 << 20
@@ -121,52 +119,23 @@ def postings(docs: DataFrame, words: set[bytes]) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, "word string, id long, positions array<int>")
 
 
-def alignments(index: DataFrame, probe_rows: DataFrame, most: int = PROBES, slop: int = SLOP) -> DataFrame:
-    """(id, item, version, exact) of documents where enough probes of an item meet.
+def alignments(index: DataFrame, probe_rows: DataFrame, near: bool = False, slop: int = SLOP) -> DataFrame:
+    """(id, item, version, exact): documents and beginnings at which two probes of an item agree.
 
-    exact: beginnings on which min(`most`, length) probes agree. It is empty where as many
-    different probes only lie within `slop` words of where they should be (proximity).
+    With `near` also documents in which two probes lie within about `slop` words (2 slop at most) of
+    where they should be to each other; exact is empty where that is all. An item of one word needs one probe.
     """
-
-    def run(source):
-        for batch in source:
-            lists, needs = batch.column(4), batch.column(3).to_numpy()
-            begins, places = (lists.flatten().field(i).to_numpy() for i in (0, 1))
-            ends = np.cumsum([0, *pa.compute.list_value_length(lists).to_pylist()])
-            rows, exact = [], []
-            for i, need in enumerate(needs):
-                pairs = sorted(set(zip(begins[ends[i] : ends[i + 1]].tolist(), places[ends[i] : ends[i + 1]].tolist(), strict=True)))
-                agreed, near, first, within = [], False, 0, {}
-                for last, (begin, place) in enumerate(pairs):
-                    within[place] = within.get(place, 0) + 1
-                    while pairs[first][0] < begin - slop:
-                        within[pairs[first][1]] -= 1
-                        if not within[pairs[first][1]]:
-                            del within[pairs[first][1]]
-                        first += 1
-                    near |= len(within) >= need
-                    if last + 1 == len(pairs) or pairs[last + 1][0] != begin:
-                        same = 0
-                        while same <= last and pairs[last - same][0] == begin:
-                            same += 1
-                        if same >= need:
-                            agreed.append(begin)
-                if near:
-                    rows.append(i)
-                    exact.append(agreed)
-            chosen = batch.take(pa.array(rows, pa.int64()))
-            columns = [*chosen.columns[:3], pa.array(exact, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "item", "version", "exact"])
-
-    met = index.join(probe_rows, "word").select(
-        "id", "item", "version", F.least(F.lit(most), "length").alias("need"), "place", F.explode("positions").alias("position")
-    )
-    listed = met.groupBy("id", "item", "version", "need").agg(
-        F.collect_list(F.struct((F.col("position") - F.col("place")).alias("begin"), "place")).alias("met"),
-        F.size(F.collect_set("place")).alias("places"),
-    )
-    enough = listed.where("places >= need").select("id", "item", "version", "need", "met")
-    return enough.mapInArrow(run, "id long, item long, version long, exact array<int>")
+    met = index.join(probe_rows, "word").select("id", "item", "version", "length", "place", F.explode("positions").alias("position"))
+    met = met.withColumn("begin", (F.col("position") - F.col("place")).cast("int"))
+    two = (F.min("place") < F.max("place")) | (F.max("length") == 1)
+    # A document's postings come from one task, so these group mostly before the shuffle.
+    found = met.groupBy("id", "item", "version", "begin").agg(two.alias("two")).where("two").drop("two")
+    if near:
+        window = F.floor(F.col("begin") / slop)
+        spread = met.withColumn("window", F.explode(F.array(window, window - 1)))
+        close = spread.groupBy("id", "item", "version", "window").agg(two.alias("two")).where("two")
+        found = found.unionByName(close.select("id", "item", "version", F.lit(None).cast("int").alias("begin")))
+    return found.groupBy("id", "item", "version").agg(F.collect_set("begin").alias("exact"))
 
 
 def _hits(words: list[bytes], found: list[dict], size: int) -> tuple[int, list[int], list[int]]:
@@ -201,11 +170,12 @@ def judge(
     text: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
+    near: bool = False,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """(doc_id, n_words, n_hit, items, near_items, contaminated), one row per row of `docs`.
 
-    items: ids whose windows occur; near_items: ids with a proximity match and no window.
+    items: ids whose windows occur; near_items: ids with a proximity match and no window (looked for with `near`).
     """
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     words = settle(item_words(items, item_id, item_text), "item-words")
@@ -213,7 +183,7 @@ def judge(
     found = docs.sparkSession.createDataFrame([], "id long, item long, version long, exact array<int>")
     for block in range(blocks):
         part = words if blocks == 1 else words.where(F.pmod(F.xxhash64("item", "version"), F.lit(blocks)) == block)
-        found = found.unionByName(_look_up(texts, part, size)) if block else _look_up(texts, part, size)
+        found = found.unionByName(_look_up(texts, part, size, near)) if block else _look_up(texts, part, size, near)
     whole = words.groupBy("item", "version").agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("w"))
     whole = whole.select("item", "version", F.array_join("w.word", " ").alias("words"))
     met = found.join(whole, ["item", "version"]).groupBy("id").agg(F.collect_list(F.struct("item", "words", "exact")).alias("found"))
@@ -226,12 +196,12 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = SIZE, doc_id: s
     return docs.join(settle(gone, "contaminated"), docs[doc_id] == F.col("gone"), "left_anti")
 
 
-def _look_up(texts: DataFrame, part: DataFrame, size: int) -> DataFrame:
+def _look_up(texts: DataFrame, part: DataFrame, size: int, near: bool) -> DataFrame:
     vocabulary = lambda df: {r[0].encode() for r in df.select("word").distinct().toLocalIterator()}
     counts = settle(word_counts(texts, vocabulary(part)), "word-counts")
     chosen = settle(probes(part, counts, size), "probes")
     index = settle(postings(texts, vocabulary(chosen)), "postings")
-    return settle(alignments(index, chosen), "alignments").select("id", "item", "version", "exact")
+    return settle(alignments(index, chosen, near), "alignments")
 
 
 def _compare(joined: DataFrame, size: int) -> DataFrame:
