@@ -13,8 +13,9 @@ at (later ones where a coordinate stayed empty), so the work is k log k + elemen
 Join. Texts with equal shingle sets are one class, stood for by its smallest
 doc_id. Each class puts r coordinates a band into b buckets. In a bucket, all are
 paired with its smallest member (linear, whatever its size); pairs are checked
-exactly. Buckets whose members are not yet in one component then get the pairs
-between different components. At similarity 0.8 a pair shares no bucket with a
+exactly. Buckets whose members are not yet in one component are then searched for links
+between different components: small ones as pairs, larger ones in blocks of a fixed
+size, two blocks a task, from which only links come out. At similarity 0.8 a pair shares no bucket with a
 probability of (1 - 0.8^r)^b, 3e-6 for the defaults. Links are exact: none below
 the threshold counts. Components of the links are the groups.
 
@@ -30,10 +31,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD_BYTES, batches, packed, settle, table
+from tidemark.llm.common import WORD_BYTES, batches, settle, table
 from tidemark.llm.components import components
 from tidemark.llm.hashing import hash_spans, mix, seeded, shingle_hashes, unit, word_spans
 
@@ -41,6 +43,11 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
 BATCH_BYTES = 2 << 20
+# Buckets of more members are compared block by block inside tasks; of fewer, as rows of pairs.
+LISTED = 16
+BLOCK = 128
+# Shingles that are compared at a time.
+COLUMNS = 4096
 
 # Rank cells are [0, FIRST), [FIRST, 2 FIRST), [2 FIRST, 4 FIRST) ...
 FIRST_RANK = 0.125
@@ -177,6 +184,75 @@ def links(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) ->
     return common.select("a", "b", value.alias("similarity")).where(F.col("similarity") >= similarity)
 
 
+def common_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each list of x shares with each list of y."""
+    flat_x, flat_y = np.concatenate(x), np.concatenate(y)
+    both = np.intersect1d(flat_x, flat_y)
+    total = np.zeros((len(x), len(y)), np.float32)
+    spots = []
+    for lists, flat in ((x, flat_x), (y, flat_y)):
+        row = np.repeat(np.arange(len(lists)), [len(v) for v in lists])
+        place = np.searchsorted(both, flat)
+        held = place < len(both)
+        held[held] = both[place[held]] == flat[held]
+        order = np.argsort(place[held], kind="stable")
+        spots.append((row[held][order], place[held][order]))
+    for begin in range(0, len(both), COLUMNS):
+        part = []
+        for lists, (row, place) in zip((x, y), spots, strict=True):
+            low, high = np.searchsorted(place, (begin, begin + COLUMNS))
+            matrix = np.zeros((len(lists), COLUMNS), np.float32)
+            matrix[row[low:high], place[low:high] - begin] = 1
+            part.append(matrix)
+        total += part[0] @ part[1].T
+    return total
+
+
+_BLOCK = "ids binary, components binary, lengths binary, shingles binary"
+
+
+def block_links(members: DataFrame, sets: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+    """(a, b): links between members (key, id, component, members) of one bucket that are in different components.
+
+    A bucket's members are dealt by hash into blocks; every two blocks are a row, compared inside a task.
+    """
+
+    def pack(group: pa.Table) -> pa.Table:
+        lists = group.column("shingles").combine_chunks()
+        packed = [
+            group.column("id").to_numpy(),
+            group.column("component").to_numpy(),
+            pa.compute.list_value_length(lists).to_numpy().astype(np.int64),
+            lists.flatten().to_numpy(),
+        ]
+        first = [group.column(c).slice(0, 1) for c in ("key", "block")]
+        return pa.table([*first, *(pa.array([np.ascontiguousarray(v).tobytes()], pa.binary()) for v in packed)], names=["key", "block", "ids", "components", "lengths", "shingles"])
+
+    def unpack(row: dict) -> tuple:
+        ids, component, lengths, flat = (np.frombuffer(row[c], np.int64) for c in ("ids", "components", "lengths", "shingles"))
+        return ids, component, lengths, np.split(flat, np.cumsum(lengths)[:-1])
+
+    def compare(source):
+        for batch in source:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                (a, ca, na, xa), (b, cb, nb, xb) = unpack(row["x"]), unpack(row["y"])
+                common = common_counts(xa, xb)
+                linked = common / (na[:, None] + nb - common) >= similarity
+                i, j = np.nonzero(linked & (ca[:, None] != cb))
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a[i], b[j])), pa.array(np.maximum(a[i], b[j]))], names=["a", "b"])
+
+    blocks = F.ceil(F.col("members") / block).cast("int")
+    dealt = members.select("key", "id", "component", blocks.alias("blocks"), F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block"))
+    counts = dealt.select("key", "blocks").distinct()
+    rows = dealt.join(sets, "id").groupBy("key", "block").applyInArrow(pack, f"key long, block int, {_BLOCK}")
+    rows = settle(rows, "blocks").join(counts, "key")
+    whole, number = F.struct("ids", "components", "lengths", "shingles"), F.col("block")
+    left = rows.select("key", number.alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), whole.alias("x"))
+    right = rows.select("key", F.explode(F.sequence(F.lit(0), "block")).alias("i"), number.alias("j"), whole.alias("y"))
+    return left.join(right, ["key", "i", "j"]).select("x", "y").mapInArrow(compare, "a long, b long").distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     similarity: float = SIMILARITY,
@@ -208,17 +284,22 @@ def near_duplicates(
     # Buckets that still hold several components: pairs between those.
     comp = components(found)
     placed = buckets.join(comp, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("l"), F.max("component").alias("h")).where("l <> h").select("key")
-    placed = settle(placed.join(mixed, "key", "left_semi"), "mixed")
-    x, y = placed.alias("x"), placed.alias("y")
+    mixed = placed.groupBy("key").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("members")
+    )
+    placed = settle(placed.join(mixed.where("least <> most").select("key", "members"), "key"), "mixed")
+    few = placed.where(F.col("members") <= LISTED)
+    x, y = few.alias("x"), few.alias("y")
     across = x.join(y, F.col("x.key") == F.col("y.key")).where(
         (F.col("x.component") < F.col("y.component"))
         & (near(F.col("x.n"), F.col("y.n")) if not counted else F.lit(True))
     )
     across = across.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     second = settle(across.join(first, ["a", "b"], "left_anti"), "pairs")
-    more = links(second, sets, similarity)
-    groups = components(found.select("a", "b").unionByName(more.select("a", "b")))
+    more = links(second, sets, similarity).select("a", "b").unionByName(
+        block_links(placed.where(F.col("members") > LISTED), sets, similarity)
+    )
+    groups = components(found.select("a", "b").unionByName(more))
 
     member = signed.join(classes, ["h1", "h2"], "left").select("id", "n", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("id")).alias("rep"))
     placed = member.join(groups.withColumnRenamed("id", "rep"), "rep", "left")
