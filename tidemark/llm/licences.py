@@ -127,6 +127,8 @@ def _read(worded: DataFrame, index: list[tuple]) -> DataFrame:
         F.when(F.forall(F.array(*[F.contains(F.col("words"), F.lit(f" {k} ")) for k in keys]), lambda k: k), F.lit(number))
         for number, (_, _, keys) in enumerate(TEMPLATES)
     ]
+    # All words of the index from the rarest on: a file's own are taken in this order.
+    order = F.array(*[F.lit(w) for w in sorted(idf, key=lambda w: (-idf[w], w))])
     some = F.arrays_overlap("list", F.array(*map(F.lit, idf)))
     n_words = F.size("list")
     return worded.select(
@@ -135,6 +137,7 @@ def _read(worded: DataFrame, index: list[tuple]) -> DataFrame:
         n_words.cast("long").alias("n_words"),
         *[_phrase_places(F.col("words"), n_words, p).alias(f"base{i}") for i, p in enumerate(BASE)],
         F.when(some, rare).alias("rare"),
+        F.when(some, F.slice(F.array_intersect(order, F.col("list")), 1, TOP)).alias("top"),
         F.when(some, F.array_compact(F.array(*verified))).alias("verified"),
     )
 
@@ -144,10 +147,7 @@ def _matches(files: DataFrame, index: list[tuple]) -> DataFrame:
     spark = files.sparkSession
     lookup = _literal_rows(spark, index, ["word", "idf", "template", "place", "needed"])
     names = _literal_rows(spark, [(n, label) for n, (label, _, _) in enumerate(TEMPLATES)], ["template", "label"])
-    # All words of the index from the rarest on: a file's are taken in this order.
-    order = F.array(*[F.lit(w) for w, _ in sorted({(w, value) for w, value, *_ in index}, key=lambda x: (-x[1], x[0]))])
-    top = F.slice(F.array_intersect(order, F.transform("rare", lambda r: r["word"])), 1, TOP)
-    spots = files.where(F.size("rare") > 0).select("doc_id", "h", "verified", top.alias("top"), F.explode("rare").alias("r"))
+    spots = files.where(F.size("rare") > 0).select("doc_id", "h", "verified", "top", F.explode("rare").alias("r"))
     chosen = spots.where(F.array_contains("top", F.col("r.word")))
     aligned = chosen.select("doc_id", "h", "verified", "r.word", "r.at").join(F.broadcast(lookup), "word")
     begin = F.col("at") - F.col("place")

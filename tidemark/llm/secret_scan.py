@@ -91,7 +91,7 @@ def from_counts(random: np.ndarray, ordinary: np.ndarray) -> Model:
 
     def table_of(counts: np.ndarray) -> np.ndarray:
         single = (counts.sum(0) + SMOOTHING) / (counts.sum() + SMOOTHING * _N)
-        lean = 0.5 * single + 0.5 / _N
+        lean = 0.9 * single + 0.1 / _N
         return np.log(counts + SMOOTHING * _N * lean) - np.log(counts.sum(1, keepdims=True) + SMOOTHING * _N)
 
     usual = table_of(ordinary)
