@@ -1,16 +1,16 @@
 """Byte-level BPE: every distinct word is encoded once, for the whole corpus.
 
-1. Texts are split into pre-tokens; each task counts the distinct ones, and a shuffle
-   of (word, count) makes them distinct over all documents.
-2. Each distinct word is merged by the ranks, once, and stored with its ids.
-3. The most frequent words (at most `FREQUENT`, of at most `FREQUENT_BYTES` bytes each,
-   so their table has a fixed bound) travel to the tasks; a natural text consists of them for the
-   most part. All other pre-tokens are exploded with their positions, joined to their ids by a
-   shuffle on the word, and brought back to their text.
-4. A text is put together by position: the ids of the frequent words with gaps, and
-   the ids that belong into the gaps.
-
-Decoding joins ids to the table of their bytes (one entry an id, a fixed size).
+1. The most frequent words of a bounded sample of texts are encoded (at most `FREQUENT` words of at
+   most `FREQUENT_BYTES` bytes, so their table has a fixed bound) and travel to the tasks. This
+   changes no result, only how many words need the shuffle below.
+2. Texts are split into pre-tokens. A frequent word becomes its number; any other one is
+   exploded with its position.
+3. The others are made distinct over all documents by a shuffle on the word, and each distinct
+   one is merged by the ranks, once. Its ids are joined back to its positions.
+4. A text is put together by position from the ids of its frequent and other words.
+
+A text's numbers are dealt out by document once (compressed); the other words are read from there and
+come back there. Decoding joins ids to the table of their bytes (one entry an id, a fixed size).
 
 Texts are pre-tokenised in Python, as the split pattern needs Unicode classes; a text whose
 characters are all below U+0100 takes a pattern with these classes written out.
@@ -33,17 +33,18 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 import regex
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches, settle, table
+from tidemark.llm.common import batches, bounded_sample, settle, table
 
-FREQUENT = 400_000
+FREQUENT = 200_000
 FREQUENT_BYTES = 48
-BATCH_BYTES = 8 << 20
-# A task gives out its counts when it holds so many distinct words.
-HELD_WORDS = 300_000
+SAMPLE_TEXTS = 20_000
+BATCH_BYTES = 4 << 20
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -131,46 +132,33 @@ def _packed_ids(ids: list[int]) -> bytes:
     return np.array(ids, "<u4").tobytes()
 
 
-def distinct_words(docs: DataFrame, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """(word, n): the distinct pre-tokens of all texts of (id, text), with their counts."""
+class Frequent:
+    """Numbers (from 1) of the frequent words, and the ids of each number."""
+
+    def __init__(self, words: list[str], ids: list[list[int]]):
+        self.numbers = {w: i for i, w in enumerate(words, 1)}
+        self.lengths = np.array([0, *map(len, ids)], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.array([x for own in ids for x in own], "<u4")
+
+
+def frequent_words(texts: DataFrame, path: str, pattern: str, most: int = FREQUENT) -> Frequent:
+    """The words that stand most often in a bounded sample of (id, text), at least twice, all above a count of which there are at most `most`."""
 
     def run(source):
         counts: Counter = Counter()
         split = splitter(pattern)
-
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
-            )
-
         for batch in batches(BATCH_BYTES)(source):
             for text in batch.column(1).to_pylist():
-                counts.update(split(text) if text else ())
-                if len(counts) > HELD_WORDS:
-                    yield rows()
-                    counts.clear()
-        yield rows()
-
-    return docs.select("id", "text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def encoded_words(words: DataFrame, path: str) -> DataFrame:
-    """(word, n, ids) of (word, n): ids as packed unsigned 32-bit integers, little end first."""
-
-    def run(source):
-        ranks = load_ranks(path)
-        for batch in source:
-            ids = [_packed_ids(merge(w, ranks)) for w in batch.column(0).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=["word", "n", "ids"])
+                counts.update(w for w in split(text) if len(w) <= FREQUENT_BYTES) if text else None
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
+        )
 
-    return words.mapInArrow(run, "word string, n long, ids binary")
-
-
-def frequent_words(encoded: DataFrame, most: int = FREQUENT) -> dict[str, bytes]:
-    """Words of the highest counts with their ids: all above the least count at which there are at most `most`."""
-    short = encoded.where(F.octet_length("word") <= FREQUENT_BYTES)
+    counted = bounded_sample(texts, "id", SAMPLE_TEXTS).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = settle(counted.where((F.col("n") > 1) & (F.octet_length("word") <= FREQUENT_BYTES)), "frequent")
     level = F.floor(F.log2("n") * 8).cast("int")
-    sizes = short.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()  # a few hundred rows
+    sizes = counted.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()  # a few hundred rows
     total, least = 0, None
     for row in sizes:
         total += row["count"]
@@ -178,45 +166,90 @@ def frequent_words(encoded: DataFrame, most: int = FREQUENT) -> dict[str, bytes]
             break
         least = row["level"]
     if least is None:
-        return {}
-    chosen = short.where(level >= least).select("word", "ids").toArrow()
-    return dict(zip(chosen.column(0).to_pylist(), chosen.column(1).to_pylist(), strict=True))
+        return Frequent([], [])
+    words = counted.where(level >= least).orderBy(F.desc("n"), "word").select("word").toArrow().column(0).to_pylist()
+    ranks = load_ranks(path)
+    return Frequent(words, [merge(w.encode(), ranks) for w in words])
+
+
+def _squeeze(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^24, byte by byte of equal weight, compressed."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T[:3]
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _stretch(squeezed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(squeezed), np.uint8).reshape(3, -1).astype(np.int64)
+    return planes[0] | planes[1] << 8 | planes[2] << 16
 
 
 def skeletons(docs: DataFrame, frequent, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """(id, h, ids, gaps, words) of each (id, text): the ids of frequent words, and the others with their places.
+    """(id, h, numbers, words) of each (id, text): numbers of the frequent words in order, 0 for each of the others, and those.
 
-    gaps: how many ids stand before each missing word. frequent: a broadcast of word to packed ids.
-    h: a hash of the text, which tells rows of one id apart.
+    frequent: a broadcast. h: a hash of the text, which tells rows of one id apart.
     """
 
     def run(source):
-        table, split = frequent.value, splitter(pattern)
+        number, split = frequent.value.numbers.get, splitter(pattern)
         for batch in batches(BATCH_BYTES)(source):
-            ids, gaps, words = [], [], []
+            squeezed, others = [], []
             for text in batch.column(1).to_pylist():
-                parts, own_gaps, own_words, place = [], [], [], 0
-                for word in split(text) if text else ():
-                    known = table.get(word)
-                    if known is None:
-                        own_gaps.append(place)
-                        own_words.append(word)
-                    else:
-                        parts.append(known)
-                        place += len(known) >> 2
-                flat = np.frombuffer(b"".join(parts), "<u4")
-                ids.append(flat.astype("<u2").tobytes() if not len(flat) or flat.max() < 1 << 16 else b"\0" + flat.tobytes())
-                gaps.append(own_gaps)
-                words.append(own_words)
-            columns = [pa.array(ids, pa.binary()), pa.array(gaps, pa.list_(pa.int32())), pa.array(words, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], names=["id", "h", "ids", "gaps", "words"])
+                words = split(text) if text else []
+                numbers = np.fromiter((number(w, 0) for w in words), np.int64, len(words))
+                squeezed.append(_squeeze(numbers))
+                others.append([words[i] for i in np.flatnonzero(numbers == 0)])
+            columns = [pa.array(squeezed, pa.binary()), pa.array(others, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], names=["id", "h", "numbers", "words"])
 
     keyed = docs.select("id", "text", F.xxhash64("text").alias("h"))
-    return keyed.mapInArrow(run, "id long, h long, ids binary, gaps array<int>, words array<string>")
+    return keyed.mapInArrow(run, "id long, h long, numbers binary, words array<string>")
+
+
+def exploded(dealt: DataFrame) -> DataFrame:
+    """(id, h, place, word) of the words of `skeletons`; place counts these words alone."""
 
+    def run(source: Iterator[pa.RecordBatch]):
+        for batch in source:
+            words = batch.column(3)
+            lengths = pa.compute.list_value_length(words).to_numpy()
+            row = np.repeat(np.arange(len(lengths)), lengths)
+            place = (np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
+            take = pa.array(row, pa.int64())
+            columns = [batch.column(0).take(take), batch.column(1).take(take), pa.array(place), words.flatten()]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "h", "place", "word"])
+
+    # In Python, so that every use reads all columns and can share one exchange.
+    return dealt.mapInArrow(run, "id long, h long, place int, word string")
+
+
+def encoded_words(words: DataFrame, path: str) -> DataFrame:
+    """(word, ids) of (word): ids as packed unsigned 32-bit integers, little end first."""
+
+    def run(source):
+        ranks = load_ranks(path)
+        for batch in source:
+            ids = [_packed_ids(merge(w, ranks)) for w in batch.column(0).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["word", "ids"])
 
-def _unpack(ids: bytes) -> np.ndarray:
-    return np.frombuffer(ids, "<u4", offset=1) if len(ids) & 1 else np.frombuffer(ids, "<u2")
+    return words.mapInArrow(run, "word string, ids binary")
+
+
+def _put_together(numbers: np.ndarray, known: Frequent, others: list[bytes]) -> bytes:
+    """Ids of a text: of the frequent words by number, of the others in turn where the number is 0."""
+    lengths = known.lengths[numbers]
+    gaps = np.flatnonzero(numbers == 0)
+    lengths[gaps] = [len(x) >> 2 for x in others]
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
+    source = np.repeat(known.starts[numbers] - starts, lengths) + np.arange(ends[-1] if len(ends) else 0)
+    if not len(gaps):
+        return known.flat[source].tobytes()
+    own = np.zeros(len(source), bool)
+    own[np.repeat(starts[gaps], lengths[gaps]) + np.arange(lengths[gaps].sum()) - np.repeat(np.cumsum(lengths[gaps]) - lengths[gaps], lengths[gaps])] = True
+    ids = np.empty(len(source), "<u4")
+    ids[~own] = known.flat[source[~own]]
+    ids[own] = np.frombuffer(b"".join(others), "<u4")
+    return ids.tobytes()
 
 
 def encode(
@@ -229,40 +262,22 @@ def encode(
 ) -> DataFrame:
     """(doc_id, ids): one row per row of `docs`; ids as packed unsigned 32-bit integers, little end first."""
     path = path or public_tokenizers.path(RANKS)
-    spark = docs.sparkSession
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    encoded = settle(encoded_words(distinct_words(texts, pattern), path), "words")
-    known = spark.sparkContext.broadcast(frequent_words(encoded, frequent))
-
-    def explode(source: Iterator[pa.RecordBatch]):
-        for batch in source:
-            words = batch.column(4)
-            lengths = pa.compute.list_value_length(words).to_numpy()
-            row = np.repeat(np.arange(len(lengths)), lengths)
-            place = (np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
-            take = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(place), words.flatten()], names=["id", "h", "place", "word"]
-            )
+    known = docs.sparkSession.sparkContext.broadcast(frequent_words(texts, path, pattern, frequent))
 
-    # The texts' ids are dealt out by document once; the missing words are read from there, and come back there.
     dealt = skeletons(texts, known, pattern).repartition("id", "h")
-    missing = dealt.mapInArrow(explode, "id long, h long, place int, word string")
-    found = missing.join(encoded.select("word", F.col("ids").alias("word_ids")), "word")
+    others = exploded(dealt)
+    ids = encoded_words(others.select("word").distinct(), path).select("word", F.col("ids").alias("word_ids"))
     # Repeated rows bring the same words again: one of each place is enough.
-    filled = found.groupBy("id", "h").agg(F.collect_set(F.struct("place", "word_ids")).alias("filled"))
-    whole = dealt.join(filled, ["id", "h"], "left").select("id", "ids", "gaps", "words", "filled")
+    filled = others.join(ids, "word").groupBy("id", "h").agg(F.collect_set(F.struct("place", "word_ids")).alias("filled"))
+    whole = dealt.join(filled, ["id", "h"], "left").select("id", "numbers", "words", "filled")
 
     def assemble(source: Iterator[pa.RecordBatch]):
         for batch in source:
             out = []
-            for ids, gaps, filled_ in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(4).to_pylist(), strict=True):
-                flat = _unpack(ids).astype("<u4")
-                if gaps:
-                    pieces = [x["word_ids"] for x in sorted(filled_, key=lambda x: x["place"])]
-                    counts = [len(x) >> 2 for x in pieces]
-                    flat = np.insert(flat, np.repeat(gaps, counts), np.frombuffer(b"".join(pieces), "<u4"))
-                out.append(flat.tobytes())
+            for squeezed, filled_ in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                pieces = [x["word_ids"] for x in sorted(filled_ or (), key=lambda x: x["place"])]
+                out.append(_put_together(_stretch(squeezed), known.value, pieces))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc_id", "ids"])
 
     return whole.mapInArrow(assemble, "doc_id long, ids binary")
