@@ -52,6 +52,8 @@ except ModuleNotFoundError as missing:
     llm_queries = None
 
 AS_OF = "2024-01-31 00:00:00"
+# The feed ends before this: its last day has no capture.
+A_DAY_ON = "2024-02-01 00:00:00"
 DAY_AGO = "2024-01-30 00:00:00"
 WEEK_AGO = "2024-01-24 00:00:00"
 HALFWAY = "2024-01-16 00:00:00"
@@ -222,7 +224,7 @@ def late_data(spark, sf):
 def silver_expect_metrics(spark, sf):
     metrics = Observation()
     rows = silver.build_batch(feed.mixed_bronze(spark, sf), metrics=metrics)
-    settle(rows, "silver")
+    rows.write.format("noop").mode("overwrite").save()
     return observed_report(spark, silver.RULES, metrics.get)
 
 
@@ -249,7 +251,7 @@ def momentum_24h(spark, sf):
 
 
 def momentum_24h_distributed(spark, sf):
-    return _plain(_momentum(spark, sf, single_task_rows=0))
+    return _plain(_momentum(spark, sf, slices=5))
 
 
 def momentum_presented(spark, sf):
@@ -338,6 +340,33 @@ def incremental_equals_full(spark, sf):
     )
 
 
+def backfill_any_order(spark, sf):
+    # Captures come in three waves that are not in time order, few files at a time.
+    rows = feed.rows(spark, sf)
+    wave = F.pmod(F.xxhash64(F.to_date("snapshot_id")), F.lit(3))
+    layout, landing = medallion.Layout(fresh_path(spark, "tables")), fresh_path(spark, "landing")
+    for number in range(3):
+        write_landing(rows.where(wave == number), landing, "snapshot_id")
+        medallion.take_in(spark, landing, layout, "landed", max_files=200, state_partitions=_cores(spark))
+    return medallion.silver_table(spark, layout).select("symbol", "observed_at")
+
+
+def implausible_stamps(spark, sf):
+    # Every tenth event is stamped twenty years on, long after its file.
+    rows = feed.rows(spark, sf)
+    ahead = F.when(F.col("event_id") % 10 == 0, F.col("snapshot_id") + F.expr("INTERVAL 20 YEARS"))
+    landing = fresh_path(spark, "landing")
+    write_landing(rows.withColumn("snapshot_id", F.coalesce(ahead, "snapshot_id")), landing, "snapshot_id")
+    layout = medallion.Layout(fresh_path(spark, "tables"))
+    medallion.take_in(spark, landing, layout, "landed", state_partitions=_cores(spark))
+    letters = spark.read.schema("snapshot_id timestamp, source string, reason string, payload string")
+    typed = medallion.silver_table(spark, layout)
+    bad = letters.json(layout.table("quarantine"))
+    return typed.select("symbol", "observed_at", F.lit(None).cast("string").alias("reason")).unionAll(
+        bad.select(F.upper(F.get_json_object("payload", "$.symbol")), "snapshot_id", "reason")
+    )
+
+
 def medallion_update(spark, sf):
     layout = medallion.Layout(fresh_path(spark, "medallion"))
     landing = _landed(spark, sf, slot_minutes=None)
@@ -389,15 +418,15 @@ def layer_stats(spark, sf):
 
 
 def freshness_coverage(spark, sf):
-    return monitors.freshness_coverage(_silver(spark, sf), AS_OF)
+    return monitors.freshness_coverage(_momentum(spark, sf), AS_OF)
 
 
 def capture_gaps(spark, sf):
-    return monitors.capture_gaps(feed.bronze(spark, sf, slot_minutes=15))
+    return monitors.capture_gaps(feed.bronze(spark, sf, slot_minutes=15), A_DAY_ON, days=30)
 
 
 def capture_growth(spark, sf):
-    return monitors.capture_growth(feed.bronze(spark, sf, slot_minutes=15))
+    return monitors.capture_growth(feed.bronze(spark, sf, slot_minutes=15), A_DAY_ON, days=30)
 
 
 _QUERIES = {
@@ -429,6 +458,8 @@ _QUERIES = {
     "mv_refresh": mv_refresh,
     "clustered_write": clustered_write,
     "incremental_equals_full": incremental_equals_full,
+    "backfill_any_order": backfill_any_order,
+    "implausible_stamps": implausible_stamps,
     "medallion_update": medallion_update,
     "top_momentum": top_momentum,
     "change_distribution": change_distribution,
@@ -562,6 +593,9 @@ def oracle_sql() -> dict[str, str]:
     quarter = "time_bucket(INTERVAL 15 MINUTE, ts)"
     feed_only = lambda body, symbol="user", at=hourly: f"WITH feed AS ({_feed_sql(symbol, at)}) {body}"
     whole_payload = f"{_PAYLOAD} || {_STAMP}"
+    expected_slots = f"""
+        SELECT unnest(generate_series(TIMESTAMP '{A_DAY_ON}' - INTERVAL 30 DAY,
+                                      TIMESTAMP '{A_DAY_ON}' - INTERVAL 15 MINUTE, INTERVAL 15 MINUTE)) AS slot"""
     movers = """
         SELECT count(*) FILTER (pct_change_24h > 0) AS gainers, count(*) FILTER (pct_change_24h < 0) AS losers,
                count(*) FILTER (pct_change_24h = 0) AS unchanged,
@@ -604,6 +638,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_id, symbol, price_usd, CAST(21000000 AS DOUBLE) AS circulating_supply FROM typed""",
         "silver_dedup": _with_silver("SELECT * FROM silver"),
         "silver_dedup_heavy": _with_silver("SELECT * FROM silver", "event_type"),
+        "backfill_any_order": _with_silver("SELECT symbol, observed_at FROM silver"),
+        "implausible_stamps": feed_only(
+            """SELECT DISTINCT upper(symbol) AS symbol, snapshot_id AS observed_at, CAST(NULL AS VARCHAR) AS reason
+               FROM feed WHERE event_id % 10 <> 0
+               UNION ALL SELECT upper(symbol), snapshot_id + INTERVAL 20 YEAR, 'capture_time_implausible'
+               FROM feed WHERE event_id % 10 = 0"""
+        ),
         "silver_stream": _with_silver(
             "SELECT symbol, observed_at, CAST(observed_at AS DATE) AS dt FROM silver", "event_type"
         ),
@@ -711,18 +752,18 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT max(observed_at) AS last_observed_at, count(DISTINCT symbol) AS symbols,
                        CAST(epoch(TIMESTAMP '{AS_OF}') - epoch(max(observed_at)) AS DOUBLE) AS age_seconds,
                        epoch(TIMESTAMP '{AS_OF}') - epoch(max(observed_at)) <= 900 AS fresh,
-                       count(DISTINCT symbol) >= 100 AS covered FROM silver"""
+                       count(DISTINCT symbol) >= 100 AS covered FROM silver
+                WHERE observed_at BETWEEN TIMESTAMP '{DAY_AGO}' AND TIMESTAMP '{AS_OF}'"""
         ),
         "capture_gaps": feed_only(
-            """, captured AS (SELECT DISTINCT snapshot_id AS slot FROM feed),
-               expected AS (SELECT unnest(generate_series(min(slot), max(slot), INTERVAL 15 MINUTE)) AS slot FROM captured)
+            f""", captured AS (SELECT DISTINCT snapshot_id AS slot FROM feed), expected AS ({expected_slots})
                SELECT slot FROM expected ANTI JOIN captured USING (slot)""",
             at=quarter,
         ),
         "capture_growth": feed_only(
-            """, captured AS (SELECT snapshot_id AS slot, count(*) AS n FROM feed GROUP BY slot)
-               SELECT CAST(slot AS DATE) AS day, count(*) AS captures, CAST(sum(n) AS BIGINT) AS row_count,
-                      96 - count(*) AS missing FROM captured GROUP BY day""",
+            f""", captured AS (SELECT snapshot_id AS slot, count(*) AS n FROM feed GROUP BY slot), expected AS ({expected_slots})
+               SELECT CAST(e.slot AS DATE) AS day, count(n) AS captures, CAST(coalesce(sum(n), 0) AS BIGINT) AS row_count,
+                      count(*) - count(n) AS missing FROM expected e LEFT JOIN captured c ON e.slot = c.slot GROUP BY day""",
             at=quarter,
         ),
     }

@@ -23,6 +23,7 @@ from tidemark.sources import (
     write_landing,
 )
 from tidemark.sources import snapshot_files
+from tidemark.sources.tables import drop_old_versions
 from tidemark.streaming import bronze_stream, finish, quarantine_stream, silver_stream
 
 
@@ -103,7 +104,7 @@ def test_snapshot_files_batch_equals_text_source(spark, tmp_path, split_bytes):
     reader = spark.read.format("snapshot_files").option("source", "s").option("splitBytes", split_bytes)
     ours = reader.load(root)
     assert [f.nullable for f in ours.schema] == [False] * 3
-    builtin = bronze.from_landing(read_landing(spark, root), "s").where("payload <> ''")
+    builtin = bronze.from_landing(read_landing(spark, root), "s").where("payload <> ''").select(ours.columns)
     assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, builtin.collect()))
     if split_bytes == 50:
         assert ours.rdd.getNumPartitions() > 5
@@ -209,8 +210,8 @@ def test_shared_folder_is_the_named_one_and_never_local_on_a_cluster():
     assert session.shared_dir(Session("hdfs:///shared/", "yarn")) == "hdfs:///shared"
     with pytest.raises(RuntimeError):
         session.shared_dir(Session(None, "yarn"))
-    local = Session(None, "local[2]")
-    assert session.shared_dir(local) == session.shared_dir(local)
+    with pytest.raises(RuntimeError):
+        session.shared_dir(Session(None, "local[2]"))
 
 
 def test_settled_tables_are_read_back_unchanged(spark):
@@ -399,6 +400,78 @@ def test_rescued_sample_looks_only_at_rescued_rows(spark, tmp_path):
     assert [r[0] for r in sample.collect()] == ['{"new":"1"}'] * 5
 
 
+def test_whole_json_files(spark, tmp_path):
+    folder = tmp_path / "dt=2024-01-30" / "hh=10"
+    folder.mkdir(parents=True)
+    for name, text in (("list", '[{"symbol":"a"},{"symbol":"b"}]'), ("one", '{"symbol":"c","status":1}'), ("broken", '{"symbol":')):
+        (folder / f"{name}.json").write_text(text)
+    register(spark)
+    rows = spark.read.format("snapshot_files").load(str(tmp_path))
+    assert sorted(r["payload"] for r in rows.collect()) == ['{"symbol":', '{"symbol": "a"}', '{"symbol": "b"}', '{"symbol": "c", "status": 1}']
+    assert [r["reason"] for r in bronze.quarantine(rows).collect()] == ["non_empty_payload"]
+
+
+def aged(path, days):
+    moment = dt.datetime.now().timestamp() - days * 86_400
+    os.utime(path, (moment, moment))
+
+
+def test_no_capture_is_lost_whatever_the_order_and_age_of_files(spark, tmp_path):
+    """Files are older the later their capture is, and taken one at a time; one is older than Spark's week."""
+    landing, layout = str(tmp_path / "in"), medallion.Layout(str(tmp_path / "tables"))
+    for i, hour in enumerate(("10", "13", "16", "19")):
+        land(landing, "a.jsonl", capture(f"2024-01-30T{hour}:00:00Z", "a", "b"), hour=hour)
+        aged(f"{landing}/dt=2024-01-30/hh={hour}/a.jsonl", i)
+    first = medallion.run(spark, landing, layout, "s", "2024-01-30 20:00:00", max_files=1)
+    land(landing, "b.jsonl", capture("2024-01-30T11:00:00Z", "a"), hour="11")
+    aged(f"{landing}/dt=2024-01-30/hh=11/b.jsonl", 9)
+    second = medallion.run(spark, landing, layout, "s", "2024-01-30 20:00:00", max_files=1)
+    want = [(s, f"2024-01-30 {h}:00:00") for s in "AB" for h in (10, 13, 16, 19)] + [("A", "2024-01-30 11:00:00")]
+    assert typed_keys(spark, layout) == sorted(want)
+    assert (first.audit.rows, second.audit.rows, second.audit.repaired) == (8, 1, 1)
+
+
+def test_a_stamp_from_the_future_is_put_aside(spark, tmp_path):
+    landing, layout = str(tmp_path / "in"), medallion.Layout(str(tmp_path / "tables"))
+    land(landing, "a.jsonl", capture("2099-01-30T10:00:00Z", "x") + capture("2024-01-30T10:00:00Z", "a"))
+    medallion.run(spark, landing, layout, "s", "2024-01-30 11:00:00")
+    land(landing, "b.jsonl", capture("2024-01-30T11:00:00Z", "a", "b"), hour="11")
+    update = medallion.run(spark, landing, layout, "s", "2024-01-30 11:10:00")
+    assert typed_keys(spark, layout) == [("A", "2024-01-30 10:00:00"), ("A", "2024-01-30 11:00:00"), ("B", "2024-01-30 11:00:00")]
+    letters = spark.read.json(layout.table("quarantine")).collect()
+    assert [r["reason"] for r in letters] == ["capture_time_implausible"] and update.drop_rate == 0
+    stored = read_table(spark, layout.table("bronze")).where("verdict = 'implausible'").first()
+    assert stored["_source_file"].endswith("a.jsonl") and stored["landed_at"] is not None
+    view = read_current(spark, layout.table("freshness")).first()
+    assert view["fresh"] and not view["covered"]
+    assert read_current(spark, layout.table("capture_gaps")).count() > 600
+
+
+def test_drop_rate_of_an_update_counts_rows_without_a_symbol_and_needs_no_progress(spark, tmp_path):
+    landing, layout = str(tmp_path / "in"), medallion.Layout(str(tmp_path / "tables"))
+    land(landing, "a.jsonl", [{"current_price": i, "_ingestion_ts": "2024-01-30T10:00:00Z"} for i in range(50)])
+    land(landing, "b.jsonl", capture("2024-01-30T10:00:00Z", *(f"s{i}" for i in range(50))))
+    name = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2")
+    try:
+        update = medallion.run(spark, landing, layout, "s", "2024-01-30 10:05:00", max_files=1)
+    finally:
+        spark.conf.set(name, before)
+    assert (update.drop_rate, update.drop_alert, update.audit.rows) == (0.5, True, 100)
+    totals = spark.read.parquet(layout.table("metrics")).agg(F.sum("rows"), F.sum("quarantined"), F.sum("repaired")).first()
+    assert tuple(totals) == (100, 50, 0)
+
+
+def test_died_versions_go(spark, tmp_path):
+    root = str(tmp_path / "view")
+    for _ in range(2):
+        refresh(spark.range(1), root)
+    os.remove(f"{root}/v=000000000001/_SUCCESS")
+    drop_old_versions(spark, root, 5)
+    assert os.listdir(root) == ["v=000000000002"]
+
+
 def test_summary_tells_when_progress_was_cut(spark, tmp_path):
     before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")

@@ -1,6 +1,6 @@
 """Column expressions shared by the operators. All run inside the JVM."""
 
-from .payload import not_an_object, parse, rescued, to_payload
+from .payload import not_an_object, parse, to_payload, with_rescued
 from .timecut import as_of_column, at_or_before, iso_utc, seconds_of, slot, within
 
 __all__ = [
@@ -9,9 +9,9 @@ __all__ = [
     "iso_utc",
     "not_an_object",
     "parse",
-    "rescued",
     "seconds_of",
     "slot",
     "to_payload",
+    "with_rescued",
     "within",
 ]

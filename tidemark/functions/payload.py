@@ -47,9 +47,13 @@ def not_an_object(payload: Column) -> Column:
     return F.json_object_keys(payload).isNull()
 
 
-def rescued(payload: Column, known: Iterable[str]) -> Column:
-    """Fields outside `known` as JSON text, or NULL where there are none."""
+def with_rescued(df: DataFrame, payload: str, known: Iterable[str], name: str = "_rescued_data") -> DataFrame:
+    """Add the fields outside `known` as JSON text, or NULL where there are none.
+
+    As in `parse`, a generator unpacks the document, so it is read once whatever is filtered above.
+    """
     expected = F.array(*[F.lit(k) for k in known])
     fields = F.from_json(payload, T.MapType(T.StringType(), T.StringType()))
     extra = F.map_filter(fields, lambda key, _: ~F.array_contains(expected, key))
-    return F.when(F.cardinality(extra) > 0, F.to_json(extra))
+    opened = df.select("*", F.inline(F.array(F.struct(extra.alias("_extra")))))
+    return opened.withColumn(name, F.when(F.cardinality("_extra") > 0, F.to_json("_extra"))).drop("_extra")

@@ -16,6 +16,7 @@ from .sources.tables import (
     DAY,
     delete_folder,
     drop_old_versions,
+    exists,
     read_current,
     read_table,
     refresh,
@@ -23,7 +24,10 @@ from .sources.tables import (
 )
 from .streaming.runs import (
     BRONZE_STORED,
+    LATE,
+    Audit,
     RunSummary,
+    audit_stream,
     bronze_stream,
     finish,
     quarantine_stream,
@@ -48,18 +52,18 @@ class Layout:
 
 @dataclass(frozen=True)
 class Update:
-    """What one update did."""
+    """What one update did. The summaries are the streams' own reports; `audit` is counted from what was stored."""
 
     bronze: RunSummary
     silver: RunSummary
+    audit: Audit
     seconds: float
     on_time: bool
 
     @property
     def drop_rate(self) -> float:
-        """Share of the typed rows that the drop expectations removed."""
-        counts = self.silver.metrics.get("silver", {})
-        return counts["rows_dropped"] / counts["rows_in"] if counts.get("rows_in") else 0.0
+        """Share of the update's raw rows that no typed row can come of."""
+        return self.audit.quarantined / self.audit.rows if self.audit.rows else 0.0
 
     @property
     def drop_alert(self) -> bool:
@@ -71,7 +75,10 @@ def bronze_table(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def silver_table(spark: SparkSession, layout: Layout) -> DataFrame:
-    return read_table(spark, layout.table("silver"), SILVER_STORED)
+    """Typed rows: those of the stream, and those that came too late for it."""
+    rows = read_table(spark, layout.table("silver"), SILVER_STORED)
+    late = layout.table("silver_late")
+    return rows.unionByName(read_table(spark, late, LATE).drop("batch")) if exists(spark, late) else rows
 
 
 def momentum_view(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -103,13 +110,67 @@ def refresh_views(
     """Recompute the views from the typed table. A day of quarter-hour versions is kept."""
     silver = silver_table(spark, layout)
     staging = fresh_path(spark, "momentum")
-    refresh(gold.momentum(silver, as_of, staging=staging), layout.table("momentum"))
-    delete_folder(spark, staging)
+    try:
+        refresh(gold.momentum(silver, as_of, staging=staging), layout.table("momentum"))
+    finally:
+        delete_folder(spark, staging)
     refresh(gold.volatility(silver, as_of), layout.table("volatility"))
     for view in ("momentum", "volatility"):
         drop_old_versions(spark, layout.table(view), keep_versions)
 
 
+def refresh_monitors(
+    spark: SparkSession, layout: Layout, as_of: str | dt.datetime, days: int = 7, keep_versions: int = 96
+) -> None:
+    """Store freshness and coverage of the view, missing captures, and captures per day."""
+    raw = bronze_table(spark, layout)
+    tables = {
+        "freshness": monitors.freshness_coverage(momentum_view(spark, layout), as_of),
+        "capture_gaps": monitors.capture_gaps(raw, as_of, days),
+        "capture_growth": monitors.capture_growth(raw, as_of, days),
+    }
+    for name, rows in tables.items():
+        refresh(rows, layout.table(name))
+        drop_old_versions(spark, layout.table(name), keep_versions)
+
+
+def take_in(
+    spark: SparkSession,
+    landing: str,
+    layout: Layout,
+    source: str,
+    slot_minutes: int | None = None,
+    max_files: int | None = None,
+    raw: DataFrame | None = None,
+    state_partitions: int | None = None,
+    **options,
+) -> tuple[RunSummary, RunSummary, Audit]:
+    """The streams of an update: raw rows, quarantine, typed rows, and the audit that repairs late ones.
+
+    Options go to `silver_stream`, for example `split_hot_keys=False`.
+    """
+    if raw is None:
+        raw = bronze.from_landing(stream_landing(spark, landing, max_files), source, slot_minutes)
+    taken = finish(bronze_stream(raw, layout.table("bronze"), layout.checkpoint("bronze")))
+    path = layout.table("bronze")
+    rejects = quarantine_stream(spark, path, layout.table("quarantine"), layout.checkpoint("quarantine"), max_files)
+    try:
+        typed = finish(
+            silver_stream(
+                spark, path, layout.table("silver"), layout.checkpoint("silver"), max_files, state_partitions, **options
+            )
+        )
+        finish(rejects)
+    except BaseException:
+        rejects.stop()
+        raise
+    query, audit = audit_stream(
+        spark, path, layout.table("silver"), layout.table("silver_late"), layout.table("metrics"), layout.checkpoint("audit"), max_files
+    )
+    finish(query)
+    return taken, typed, audit
+
+
 def run(
     spark: SparkSession,
     landing: str,
@@ -120,35 +181,19 @@ def run(
     max_files: int | None = None,
     raw: DataFrame | None = None,
     state_partitions: int | None = None,
+    **options,
 ) -> Update:
-    """Take in what has landed since the last run and recompute the views.
+    """Take in what has landed since the last run, recompute the views and the monitors.
 
     `raw` replaces the landing reader by another stream of raw rows, for example
-    `spark.readStream.format("snapshot_files")`. `as_of` defaults to the start
-    of the run.
+    `spark.readStream.format("snapshot_files")`. `as_of` defaults to the time when
+    all is taken in, so captures that land during the run are in the views.
     """
     pin_utc(spark)
     began = time.monotonic()
+    taken, typed, audit = take_in(spark, landing, layout, source, slot_minutes, max_files, raw, state_partitions, **options)
     as_of = as_of or dt.datetime.now(dt.timezone.utc)
-    if raw is None:
-        raw = bronze.from_landing(stream_landing(spark, landing, max_files), source, slot_minutes)
-
-    taken = finish(bronze_stream(raw, layout.table("bronze"), layout.checkpoint("bronze")))
-    rejects = quarantine_stream(
-        spark, layout.table("bronze"), layout.table("quarantine"), layout.checkpoint("quarantine"), max_files
-    )
-    typed = finish(
-        silver_stream(
-            spark,
-            layout.table("bronze"),
-            layout.table("silver"),
-            layout.checkpoint("silver"),
-            max_files,
-            state_partitions,
-        )
-    )
-    finish(rejects)
-
     refresh_views(spark, layout, as_of)
+    refresh_monitors(spark, layout, as_of)
     seconds = time.monotonic() - began
-    return Update(taken, typed, seconds, seconds <= monitors.LATENCY_SECONDS)
+    return Update(taken, typed, audit, seconds, seconds <= monitors.LATENCY_SECONDS)

@@ -5,7 +5,6 @@ from .expectations import (
     Expectation,
     drop_rate,
     enforce,
-    failed_rules,
     keep,
     keeps,
     observe,
@@ -22,7 +21,6 @@ __all__ = [
     "dedup_stream",
     "drop_rate",
     "enforce",
-    "failed_rules",
     "keep",
     "keeps",
     "latest_per_key",

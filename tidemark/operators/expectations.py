@@ -32,11 +32,6 @@ def keeps(rules: Iterable[Expectation]) -> Column:
     return reduce(and_, [r.passes() for r in rules if r.action == "drop"], F.lit(True))
 
 
-def failed_rules(rules: Iterable[Expectation]) -> Column:
-    """Names of the expectations a row fails, in order."""
-    return F.array_compact(F.array(*[F.when(~r.passes(), F.lit(r.name)) for r in rules]))
-
-
 def _counters(rules: Sequence[Expectation]) -> list[Column]:
     return [
         F.count(F.lit(1)).alias("rows_in"),

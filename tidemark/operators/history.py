@@ -18,8 +18,8 @@ def price_before(
     """(key, ts, value, name): the key's last value at or before `ts - lag`.
 
     Equal to LAST_VALUE over RANGE BETWEEN UNBOUNDED PRECEDING AND lag PRECEDING,
-    but a key's whole history never meets in one task. Time is cut into slots
-    that divide the lag. A row's target time lies in one known slot: the answer
+    but a key's whole history never meets in one task, only its rows of one slot: choose
+    a shorter `slot_seconds` for very dense keys. Time is cut into slots that divide the lag. A row's target time lies in one known slot: the answer
     is the last value there up to the target, or else the closing value of the
     nearest earlier slot. Only one closing value per key and slot is carried
     along the key's timeline. Rows must be unique per (key, ts), with neither NULL.
@@ -54,9 +54,12 @@ def price_before(
 
     # One row per key and slot, so a timeline is as long as the calendar, not the data.
     earlier = Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    known_at = F.when(F.col("_kind") == 0, F.col("_at"))
     carried = (
         both.groupBy("_key", "_slot")
-        .agg(F.max_by("_fact", F.when(F.col("_kind") == 0, F.col("_at"))).alias("_close"))
+        .agg(F.max_by("_fact.v", known_at).alias("_v"), F.max(known_at).alias("_v_at"))
+        # Plain columns above, so that the aggregation is a hash one; a known NULL is not an unknown value.
+        .withColumn("_close", F.when(F.col("_v_at").isNotNull(), F.struct(F.col("_v").alias("v"))))
         .withColumn("_carried", F.last("_close", ignorenulls=True).over(earlier))
         .select("_key", "_slot", "_carried")
     )

@@ -7,39 +7,29 @@ from pyspark.sql import functions as F
 
 from ..session import settle
 
-# Up to this many rows a plain window in one task is the faster plan.
-SINGLE_TASK_ROWS = 100_000
-
 
 def rank_descending(
     df: DataFrame,
     value: str,
     name: str,
-    single_task_rows: int = SINGLE_TASK_ROWS,
     slices: int | None = None,
     staging: str | None = None,
 ) -> DataFrame:
     """Add RANK() OVER (ORDER BY value DESC NULLS LAST) as BIGINT column `name`.
 
-    The input is written once, so every step below sees the same rows, and its
-    row count comes from the file footers. Small inputs take the plain window.
-    Otherwise ranks are found per distinct value: values are counted, cut into
-    ranges, and a value's rank is one plus the rows in higher ranges plus the
-    rows with higher values in its own range. Equal values are one row by then,
-    so ties cannot overload a range.
+    The input is written once, so every step below sees the same rows. Ranks are
+    found per distinct value: values are counted, cut into ranges, and a value's
+    rank is one plus the rows in higher ranges plus the rows with higher values
+    in its own range. Equal values are one row by then, so ties cannot overload a
+    range. What is written lies in `staging`, for the caller to delete.
     """
     rows = settle(df, "rank-rows", staging)
-    total = rows.count()
-    descending = F.col(value).desc_nulls_last()
-    if total <= single_task_rows:
-        return rows.withColumn(name, F.rank().over(Window.orderBy(descending)).cast("bigint"))
-
     slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranks = settle(_value_ranks(rows, value, slices, staging), "rank-values", staging)
 
     # Fewer than `slices` values can each hold more than a 1/slices share of the
     # rows, so this side is bounded whatever the data; the others join by shuffle.
-    heavy_value = F.col("_rows") * slices > total
+    heavy_value = F.col("_rows") * slices > F.col("_total")
     heavy = ranks.where(heavy_value).select(
         F.col("_value").alias("_heavy_value"), F.col("_rank").alias("_heavy_rank")
     )
@@ -57,7 +47,7 @@ def rank_descending(
 
 
 def _value_ranks(rows: DataFrame, value: str, slices: int, staging: str | None) -> DataFrame:
-    """(_value, _rows, _rank) for every distinct value."""
+    """(_value, _rows, _total, _rank) for every distinct value; _total counts all rows."""
     counts = rows.groupBy(F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
     descending = F.col("_value").desc_nulls_last()
     # The range bounds come from a sample; written down, they hold for all readers.
@@ -71,7 +61,11 @@ def _value_ranks(rows: DataFrame, value: str, slices: int, staging: str | None)
     offsets = (
         sliced.groupBy("_slice")
         .agg(F.sum("_rows").alias("_slice_rows"))
-        .select("_slice", F.coalesce(F.sum("_slice_rows").over(above), F.lit(0)).alias("_before"))
+        .select(
+            "_slice",
+            F.sum("_slice_rows").over(Window.partitionBy()).alias("_total"),
+            F.coalesce(F.sum("_slice_rows").over(above), F.lit(0)).alias("_before"),
+        )
     )
     higher = (
         Window.partitionBy("_slice").orderBy(descending).rowsBetween(Window.unboundedPreceding, -1)
@@ -79,5 +73,6 @@ def _value_ranks(rows: DataFrame, value: str, slices: int, staging: str | None)
     return sliced.join(F.broadcast(offsets), "_slice").select(
         "_value",
         "_rows",
+        "_total",
         (F.lit(1) + F.col("_before") + F.coalesce(F.sum("_rows").over(higher), F.lit(0))).alias("_rank"),
     )

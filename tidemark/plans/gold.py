@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import slot, within
 from ..operators.latest import latest_per_key
-from ..operators.rank import SINGLE_TASK_ROWS, rank_descending
+from ..operators.rank import rank_descending
 from ..schemas import MOMENTUM, VOLATILITY, conform
 
 AsOf = str | dt.datetime
@@ -26,7 +26,6 @@ def latest(silver: DataFrame, as_of: AsOf) -> DataFrame:
 def momentum(
     silver: DataFrame,
     as_of: AsOf,
-    single_task_rows: int = SINGLE_TASK_ROWS,
     slices: int | None = None,
     staging: str | None = None,
 ) -> DataFrame:
@@ -36,7 +35,6 @@ def momentum(
         latest(silver, as_of).select(*columns),
         "pct_change_24h",
         "momentum_rank",
-        single_task_rows,
         slices,
         staging,
     )

@@ -5,10 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import as_of_column, seconds_of, slot
+from ..functions import as_of_column, at_or_before, seconds_of, slot, within
 
 # The service targets.
 FRESHNESS_SECONDS = 15 * 60
@@ -32,43 +32,75 @@ def layer_stats(layers: dict[str, tuple[DataFrame, str]]) -> DataFrame:
 
 
 def freshness_coverage(
-    df: DataFrame,
+    momentum: DataFrame,
     as_of: str | dt.datetime,
     ts: str = "observed_at",
     max_age_seconds: int = FRESHNESS_SECONDS,
     min_symbols: int = MIN_SYMBOLS,
 ) -> DataFrame:
-    """Age of the newest row and number of symbols, against their targets."""
+    """Age of the view's newest row and number of its symbols, against their targets.
+
+    The view holds each symbol seen in the last 24 hours, so coverage falls when
+    symbols stay away. Rows after `as_of` say nothing of its freshness.
+    """
     age = seconds_of(as_of_column(as_of)) - seconds_of(F.col("last_observed_at"))
     return (
-        df.agg(F.max(ts).alias("last_observed_at"), F.count_distinct("symbol").alias("symbols"))
+        at_or_before(momentum, ts, as_of)
+        .agg(F.max(ts).alias("last_observed_at"), F.count_distinct("symbol").alias("symbols"))
         .withColumn("age_seconds", age)
         .withColumn("fresh", F.coalesce(F.col("age_seconds") <= max_age_seconds, F.lit(False)))
         .withColumn("covered", F.col("symbols") >= min_symbols)
     )
 
 
-def _captured_slots(bronze: DataFrame, minutes: int, ts: str) -> DataFrame:
-    return bronze.groupBy(slot(F.col(ts), minutes).alias("slot")).agg(F.count(F.lit(1)).alias("row_count"))
+def _slots(spark: SparkSession, as_of: str | dt.datetime, days: int, minutes: int) -> DataFrame:
+    """The capture slots that began in the `days` before `as_of` and are over by then, made in tasks."""
+    moment = dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
+    end = int(moment.replace(tzinfo=moment.tzinfo or dt.timezone.utc).timestamp()) // (minutes * 60)
+    slots = spark.range(end - days * 24 * 60 // minutes, end)
+    return slots.select(F.timestamp_seconds(F.col("id") * (minutes * 60)).alias("slot"))
+
 
+def _captured(
+    bronze: DataFrame, as_of: str | dt.datetime, days: int, minutes: int, ts: str
+) -> DataFrame:
+    """(slot, row_count) of every slot of the span; 0 where nothing arrived."""
+    found = (
+        within(bronze, ts, as_of, f"{days + 1} DAYS")
+        .groupBy(slot(F.col(ts), minutes).alias("slot"))
+        .agg(F.count(F.lit(1)).alias("row_count"))
+    )
+    return _slots(bronze.sparkSession, as_of, days, minutes).join(found, "slot", "left").fillna(0, ["row_count"])
 
-def capture_gaps(bronze: DataFrame, minutes: int = CADENCE_MINUTES, ts: str = "snapshot_id") -> DataFrame:
-    """Slots between the first and the last capture in which nothing arrived.
 
-    After the first aggregation everything is one row per slot: 96 a day.
+def capture_gaps(
+    bronze: DataFrame,
+    as_of: str | dt.datetime,
+    days: int = 7,
+    minutes: int = CADENCE_MINUTES,
+    ts: str = "snapshot_id",
+) -> DataFrame:
+    """Slots of the last `days` before `as_of` in which nothing arrived, up to `as_of` itself.
+
+    A feed that has died shows as gaps from its last capture on.
     """
-    captured = _captured_slots(bronze, minutes, ts)
-    expected = captured.agg(F.min("slot").alias("low"), F.max("slot").alias("high")).select(
-        F.explode(F.sequence("low", "high", F.expr(f"INTERVAL {minutes} MINUTES"))).alias("slot")
-    )
-    return expected.join(captured, "slot", "left_anti")
+    return _captured(bronze, as_of, days, minutes, ts).where("row_count = 0").select("slot")
 
 
-def capture_growth(bronze: DataFrame, minutes: int = CADENCE_MINUTES, ts: str = "snapshot_id") -> DataFrame:
-    """Captures and rows per UTC day, beside the captures a full day has."""
+def capture_growth(
+    bronze: DataFrame,
+    as_of: str | dt.datetime,
+    days: int = 7,
+    minutes: int = CADENCE_MINUTES,
+    ts: str = "snapshot_id",
+) -> DataFrame:
+    """Captures and rows per UTC day of the span, beside the captures it should have; a day without any is there."""
     return (
-        _captured_slots(bronze, minutes, ts)
+        _captured(bronze, as_of, days, minutes, ts)
         .groupBy(F.to_date("slot").alias("day"))
-        .agg(F.count(F.lit(1)).alias("captures"), F.sum("row_count").alias("row_count"))
-        .withColumn("missing", F.lit(24 * 60 // minutes) - F.col("captures"))
+        .agg(
+            F.count_if(F.col("row_count") > 0).alias("captures"),
+            F.sum("row_count").alias("row_count"),
+            F.count_if(F.col("row_count") == 0).alias("missing"),
+        )
     )

@@ -75,14 +75,6 @@ def movers(momentum: DataFrame) -> DataFrame:
     )
 
 
-def gainers(momentum: DataFrame) -> DataFrame:
-    return momentum.where("pct_change_24h > 0")
-
-
-def losers(momentum: DataFrame) -> DataFrame:
-    return momentum.where("pct_change_24h < 0")
-
-
 def rescued_sample(lineage: DataFrame, n: int = 5) -> DataFrame:
     """A look at unexpected fields after a change of the feed."""
     return lineage.where("_rescued_data IS NOT NULL").select("_rescued_data").limit(n)

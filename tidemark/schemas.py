@@ -44,6 +44,15 @@ BRONZE = T.StructType(
     ]
 )
 
+# What the stored raw table has besides: where a row came from, when its file landed, unasked-for fields.
+LINEAGE = T.StructType(
+    [
+        T.StructField("_source_file", T.StringType()),
+        T.StructField("landed_at", T.TimestampType()),
+        T.StructField("_rescued_data", T.StringType()),
+    ]
+)
+
 BRONZE_LINEAGE = T.StructType(
     [
         T.StructField("_ingestion_ts", T.TimestampType()),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +18,7 @@ SETTINGS = {
     "spark.sql.streaming.numRecentProgressUpdates": "100000",
 }
 
-# Worth setting on a cluster whose dedup state outgrows executor heaps.
+# For a cluster whose dedup state outgrows executor heaps: `build_session(large_state=True)`.
 LARGE_STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -28,12 +27,12 @@ LARGE_STATE_SETTINGS = {
 }
 
 
-def build_session(app: str, master: str | None = None, **settings: str) -> SparkSession:
+def build_session(app: str, master: str | None = None, large_state: bool = False, **settings: str) -> SparkSession:
     """Start (or get) a session with the engine's settings; `settings` override them."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **settings}.items():
+    for key, value in {**SETTINGS, **(LARGE_STATE_SETTINGS if large_state else {}), **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -48,18 +47,12 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by `spark.checkpoint.dir`.
 
-    Only a local session may fall back to a temporary folder: on a cluster a
-    machine-local path would be lost with the machine.
+    Without it nothing is staged: a machine-local folder would be lost with the machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-    return context.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    return configured.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

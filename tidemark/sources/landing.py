@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ..functions import iso_utc, slot, to_payload
 
 STAMP_KEY = "_ingestion_ts"
+MAX_FILE_AGE = "36500d"
 LANDING = T.StructType(
     [
         T.StructField("value", T.StringType()),
@@ -54,20 +55,35 @@ def write_dead_letters(rejects: DataFrame, path: str, mode: str = "append") -> N
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """Landed lines as (value, dt, hh, source_file); dt and hh prune directories."""
+    """Landed lines as (value, dt, hh, source_file, landed_at); dt and hh prune directories.
+
+    The area must have the folders dt= and hh=; a flat one is refused by Spark's reader.
+    """
     return _with_origin(spark.read.schema(LANDING).text(path))
 
 
-def stream_landing(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """The same as a stream: each landed file is read once, in landing order."""
-    reader = spark.readStream.schema(LANDING)
+def stream_landing(
+    spark: SparkSession, path: str, max_files: int | None = None, max_age: str = MAX_FILE_AGE
+) -> DataFrame:
+    """The same as a stream: each landed file is read once, oldest modification first.
+
+    Files modified more than `max_age` before the newest are passed over by Spark. The default is
+    beyond any gap, as copies that keep old times are common. The memory of files seen lasts as long.
+    """
+    reader = spark.readStream.schema(LANDING).option("maxFileAge", max_age)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return _with_origin(reader.text(path))
 
 
 def _with_origin(lines: DataFrame) -> DataFrame:
-    return lines.select("value", "dt", "hh", F.col("_metadata.file_path").alias("source_file"))
+    return lines.select(
+        "value",
+        "dt",
+        "hh",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("landed_at"),
+    )
 
 
 def capture_time(slot_minutes: int | None = None) -> Column:

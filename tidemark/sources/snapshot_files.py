@@ -7,7 +7,7 @@ objects) beside JSON lines.
 
 Options: path; source (text put on every row); slotMinutes (cut capture times to
 a slot); splitBytes (work per task); settleSeconds (a stream leaves files younger
-than this for its next batch).
+than this for its next batch). A .json file is read as a whole by one task.
 
 A stream goes forward by (modification time, path), so a file must not appear with
 a time before those already read. Where times are coarse or files become visible
@@ -177,7 +177,14 @@ class _StreamReader(_Files, DataSourceStreamReader):
 def _payloads(file, path: str, start: int, end: int) -> Iterator[tuple[str, object]]:
     """(payload text, parsed object or None) of the rows that begin inside the range."""
     if path.endswith(".json"):
-        for row in json.load(file):
+        # A whole response: a list of objects, or one object. One that cannot be read is one row, for the quarantine.
+        text = file.read().decode("utf-8", "replace")
+        try:
+            found = json.loads(text)
+        except ValueError:
+            yield text, None
+            return
+        for row in found if isinstance(found, list) else [found]:
             yield json.dumps(row, ensure_ascii=False), row
         return
     if start:

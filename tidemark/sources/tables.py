@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DateType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 DAY = StructField("dt", DateType())
+# A table's files stay readable however old they are when a stream comes to them.
+MAX_FILE_AGE = "36500d"
 VERDICT = StructField("verdict", StringType())
+BATCH = StructField("batch", LongType())
 
 
 def stored(schema: StructType, *partitions: StructField) -> StructType:
@@ -28,6 +31,11 @@ def _files(spark: SparkSession, path: str):
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _files(spark, path)
+    return files.exists(folder)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder this package has written, if it is there."""
     files, folder = _files(spark, path)
@@ -38,7 +46,7 @@ def stream_table(
     spark: SparkSession, path: str, schema: StructType, max_files: int | None = None
 ) -> DataFrame:
     """A stored table as a stream of its new files."""
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("maxFileAge", MAX_FILE_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)
@@ -67,7 +75,8 @@ def append_stream(
     )
     if state_partitions is None:
         return writer.start()
-    # A stream copies the session's settings when it starts.
+    # A stream copies its session's settings when it starts. No other query of the session may be planned
+    # at that moment: it would see this number too.
     settings, name = df.sparkSession.conf, "spark.sql.shuffle.partitions"
     before = settings.get(name)
     settings.set(name, str(state_partitions))
@@ -121,7 +130,9 @@ def current_version(spark: SparkSession, root: str) -> int | None:
 
 
 def refresh(df: DataFrame, root: str) -> int:
-    """Recompute a view: write the next version. Two refreshers cannot share a number."""
+    """Recompute a view: write the next version. Let one refresher at a time do so: on a store
+    without atomic folder creation two could take the same number.
+    """
     spark = df.sparkSession
     number = max((n for n, _ in _versions(spark, root)), default=0) + 1
     df.write.mode("errorifexists").parquet(_version_path(root, number))
@@ -136,7 +147,12 @@ def read_current(spark: SparkSession, root: str, schema: StructType | None = Non
 
 
 def drop_old_versions(spark: SparkSession, root: str, keep: int) -> None:
-    """Keep the newest `keep` complete versions, for readers still on an older one."""
-    complete = sorted(n for n, done in _versions(spark, root) if done)
-    for number in complete[: -max(keep, 1)]:
+    """Keep the newest `keep` complete versions, for readers still on an older one.
+
+    Incomplete ones older than the newest complete one are of refreshes that died: they go too.
+    """
+    versions = _versions(spark, root)
+    complete = sorted(n for n, done in versions if done)
+    died = [n for n, done in versions if not done and complete and n < complete[-1]]
+    for number in [*died, *complete[: -max(keep, 1)]]:
         delete_folder(spark, _version_path(root, number))

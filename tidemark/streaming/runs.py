@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.dedup import KEYS
 from ..operators.expectations import observe
 from ..plans import bronze, silver
-from ..schemas import BRONZE
-from ..sources.tables import VERDICT, append_stream, stored, stream_table
+from ..schemas import BRONZE, LINEAGE, SILVER
+from ..sources.tables import BATCH, DAY, VERDICT, append_stream, exists, read_table, stored, stream_table
 
-BRONZE_STORED = stored(BRONZE, VERDICT)
+BRONZE_STORED = stored(BRONZE, *LINEAGE.fields, VERDICT)
 
 
 @dataclass
@@ -53,11 +54,12 @@ def finish(query: StreamingQuery) -> RunSummary:
 
 
 def bronze_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Store raw rows by verdict, so rejected rows lie beside the kept ones.
+    """Store raw rows by verdict, so rejected rows lie beside the kept ones. A source without lineage gets NULLs.
 
     No day folders: captures arrive in time order, so each file covers few of
     them and its statistics already prune by `snapshot_id`.
     """
+    rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in LINEAGE.fields if f.name not in rows.columns})
     marked = bronze.verdict(observe(rows, bronze.RULES, "bronze"))
     return append_stream(marked, path, checkpoint, ("verdict",))
 
@@ -85,6 +87,62 @@ def silver_stream(
     return append_stream(by_day, path, checkpoint, ("dt",), state_partitions=state_partitions)
 
 
+@dataclass
+class Audit:
+    """Totals of one update, counted from the stored raw rows themselves, so no batch is missed."""
+
+    rows: int = 0
+    quarantined: int = 0
+    repaired: int = 0
+
+
+LATE = stored(SILVER, DAY, BATCH)
+
+
+def audit_stream(
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    late_path: str,
+    metrics_path: str,
+    checkpoint: str,
+    max_files: int | None = None,
+) -> tuple[StreamingQuery, Audit]:
+    """Follow the raw table behind the typed stream: count its new rows, and repair what came late.
+
+    Rows behind the watermark are dropped by the typed stream. Here the keys of each batch of raw rows
+    are looked up in the typed table, in the days they fall into only, and what is missing is
+    written beside it; so the typed rows do not depend on the order in which files come.
+    A batch has folders of its own that a repeated run of it overwrites. Start it when the typed stream has ended.
+    """
+    total = Audit()
+
+    def take(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        counted = batch.agg(F.count("*").alias("rows"))
+        bad = bronze.quarantine(batch).agg(F.count("*").alias("quarantined"))
+        rows, quarantined = counted.first()[0], bad.first()[0]
+        typed = silver.build_batch(bronze.kept(batch)).withColumn("dt", F.to_date("observed_at"))
+        span = typed.agg(F.min("dt"), F.max("dt")).first()
+        repaired = 0
+        if span[0] is not None:
+            within = F.col("dt").between(F.lit(span[0]), F.lit(span[1]))
+            known = read_table(session, silver_path, stored(SILVER, DAY)).where(within).select(*KEYS)
+            if exists(session, late_path):
+                late = read_table(session, late_path, LATE).where(within & (F.col("batch") != number))
+                known = known.unionByName(late.select(*KEYS))
+            own = f"{late_path}/batch={number}"
+            typed.join(known, list(KEYS), "left_anti").write.mode("overwrite").partitionBy("dt").parquet(own)
+            repaired = read_table(session, own, stored(SILVER, DAY)).count()
+        counts = session.range(1).select(*[F.lit(v).cast("bigint").alias(k) for k, v in (("rows", rows), ("quarantined", quarantined), ("repaired", repaired))])
+        counts.coalesce(1).write.mode("overwrite").parquet(f"{metrics_path}/batch={number}")
+        total.rows, total.quarantined, total.repaired = total.rows + rows, total.quarantined + quarantined, total.repaired + repaired
+
+    source = _bronze_source(spark, bronze_path, max_files)
+    query = source.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return query, total
+
+
 def quarantine_stream(
     spark: SparkSession, bronze_path: str, path: str, checkpoint: str, max_files: int | None = None
 ) -> StreamingQuery:
