@@ -5,10 +5,13 @@
    changes no result, only how many words need the shuffle below.
 2. Texts are split into pre-tokens. A frequent word becomes its number; any other one is
    exploded with its position.
-3. The others are made distinct over all documents by a shuffle on the word, and each distinct
-   one is merged by the ranks, once. Its ids are joined back to its positions.
+3. The others are brought together by a shuffle on the word. There each distinct word is merged by
+   the ranks, once for the whole corpus, and all its positions get its ids.
 4. A text is put together by position from the ids of its frequent and other words.
 
+A word that the sample does not show twice is rare in the corpus (its share is below some millionths but by
+chance), so no word fills a task of that shuffle.
+
 A text's numbers are dealt out by document once (compressed); the other words are read from there and
 come back there. Decoding joins ids to the table of their bytes (one entry an id, a fixed size).
 
@@ -25,6 +28,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import itertools
+import json
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -36,14 +41,14 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
 import regex
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import batches, bounded_sample, settle, table
 
-FREQUENT = 200_000
+FREQUENT = 300_000
 FREQUENT_BYTES = 48
-SAMPLE_TEXTS = 20_000
+SAMPLE_TEXTS = 40_000
 BATCH_BYTES = 4 << 20
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -89,16 +94,20 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
         return [ranks[word]]
     if len(word) > 64:
         return _merge_long(word, ranks)
+    get, none = ranks.get, len(ranks) + 1
     parts = [word[i : i + 1] for i in range(len(word))]
-    while len(parts) > 1:
-        best, at = None, -1
-        for i in range(len(parts) - 1):
-            rank = ranks.get(parts[i] + parts[i + 1])
-            if rank is not None and (best is None or rank < best):
-                best, at = rank, i
-        if best is None:
+    pairs = [get(a + b, none) for a, b in itertools.pairwise(parts)]
+    while pairs:
+        best = min(pairs)
+        if best == none:
             break
+        at = pairs.index(best)
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        del pairs[at]
+        if at < len(pairs):
+            pairs[at] = get(parts[at] + parts[at + 1], none)
+        if at:
+            pairs[at - 1] = get(parts[at - 1] + parts[at], none)
     return [ranks[p] for p in parts]
 
 
@@ -129,20 +138,25 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def _packed_ids(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    """Two bytes an id, or four and one more in front, if one is too large."""
+    small = max(ids, default=0) < 1 << 16
+    return np.array(ids, "<u2").tobytes() if small else b"\0" + np.array(ids, "<u4").tobytes()
+
+
+def _unpacked_ids(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, "<u4", offset=1) if len(packed) & 1 else np.frombuffer(packed, "<u2")
 
 
 class Frequent:
-    """Numbers (from 1) of the frequent words, and the ids of each number."""
+    """The ids of each number (from 1) of a frequent word."""
 
-    def __init__(self, words: list[str], ids: list[list[int]]):
-        self.numbers = {w: i for i, w in enumerate(words, 1)}
+    def __init__(self, ids: list[list[int]]):
         self.lengths = np.array([0, *map(len, ids)], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.flat = np.array([x for own in ids for x in own], "<u4")
 
 
-def frequent_words(texts: DataFrame, path: str, pattern: str, most: int = FREQUENT) -> Frequent:
+def frequent_words(texts: DataFrame, pattern: str, most: int = FREQUENT) -> list[str]:
     """The words that stand most often in a bounded sample of (id, text), at least twice, all above a count of which there are at most `most`."""
 
     def run(source):
@@ -166,79 +180,107 @@ def frequent_words(texts: DataFrame, path: str, pattern: str, most: int = FREQUE
             break
         least = row["level"]
     if least is None:
-        return Frequent([], [])
-    words = counted.where(level >= least).orderBy(F.desc("n"), "word").select("word").toArrow().column(0).to_pylist()
-    ranks = load_ranks(path)
-    return Frequent(words, [merge(w.encode(), ranks) for w in words])
+        return []
+    return counted.where(level >= least).orderBy(F.desc("n"), "word").select("word").toArrow().column(0).to_pylist()
 
 
 def _squeeze(numbers: np.ndarray) -> bytes:
-    """Numbers below 2^24, byte by byte of equal weight, compressed."""
-    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T[:3]
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    """Numbers below 2^22, frequent ones in fewer bytes, compressed.
+
+    A number below 2^7 is one byte, below 2^14 two; the top bit says that a byte follows.
+    First bytes, second bytes and third bytes lie together, as they are alike.
+    """
+    long = numbers[numbers >= 1 << 7]
+    longer = long[long >= 1 << 14]
+    first = np.where(numbers >= 1 << 7, numbers & 127 | 128, numbers).astype(np.uint8)
+    second = np.where(long >= 1 << 14, long >> 7 & 127 | 128, long >> 7).astype(np.uint8)
+    head = np.array([len(first), len(second)], "<u4").tobytes()
+    plain = head + first.tobytes() + second.tobytes() + (longer >> 14).astype(np.uint8).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(plain)
 
 
 def _stretch(squeezed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(squeezed), np.uint8).reshape(3, -1).astype(np.int64)
-    return planes[0] | planes[1] << 8 | planes[2] << 16
+    plain = zstandard.ZstdDecompressor().decompress(squeezed)
+    n, m = np.frombuffer(plain, "<u4", 2).tolist()
+    first, second, third = (np.frombuffer(plain, np.uint8, *x).astype(np.int64) for x in ((n, 8), (m, 8 + n), (-1, 8 + n + m)))
+    more = second >= 128
+    second[more] = second[more] & 127 | third << 7
+    longer = first >= 128
+    first[longer] = first[longer] & 127 | second << 7
+    return first
 
 
 def skeletons(docs: DataFrame, frequent, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """(id, h, numbers, words) of each (id, text): numbers of the frequent words in order, 0 for each of the others, and those.
+    """(id, h, numbers, words) of each (id, text): numbers of the frequent words in order, 0 for each of the others, and those (packed).
 
-    frequent: a broadcast. h: a hash of the text, which tells rows of one id apart.
+    frequent: a broadcast of word to number. h: a hash of the text, which tells rows of one id apart.
     """
 
     def run(source):
-        number, split = frequent.value.numbers.get, splitter(pattern)
+        number, split = frequent.value.get, splitter(pattern)
         for batch in batches(BATCH_BYTES)(source):
             squeezed, others = [], []
+            pack = zstandard.ZstdCompressor(level=3).compress
             for text in batch.column(1).to_pylist():
                 words = split(text) if text else []
                 numbers = np.fromiter((number(w, 0) for w in words), np.int64, len(words))
                 squeezed.append(_squeeze(numbers))
-                others.append([words[i] for i in np.flatnonzero(numbers == 0)])
-            columns = [pa.array(squeezed, pa.binary()), pa.array(others, pa.list_(pa.string()))]
+                rest = [words[i] for i in np.flatnonzero(numbers == 0)]
+                others.append(pack(json.dumps(rest, ensure_ascii=False).encode()) if rest else None)
+            columns = [pa.array(squeezed, pa.binary()), pa.array(others, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], names=["id", "h", "numbers", "words"])
 
     keyed = docs.select("id", "text", F.xxhash64("text").alias("h"))
-    return keyed.mapInArrow(run, "id long, h long, numbers binary, words array<string>")
+    return keyed.mapInArrow(run, "id long, h long, numbers binary, words binary")
 
 
 def exploded(dealt: DataFrame) -> DataFrame:
-    """(id, h, place, word) of the words of `skeletons`; place counts these words alone."""
+    """(id, h, place, word) of the words of `skeletons`; place counts these words alone. h is 0 but for ids with several texts."""
 
     def run(source: Iterator[pa.RecordBatch]):
-        for batch in source:
-            words = batch.column(3)
-            lengths = pa.compute.list_value_length(words).to_numpy()
+        for batch in batches(BATCH_BYTES >> 3, 3)(source):
+            lists = [json.loads(zstandard.decompress(w)) if w else [] for w in batch.column(3).to_pylist()]
+            lengths = np.array([len(w) for w in lists], np.int64)
             row = np.repeat(np.arange(len(lengths)), lengths)
             place = (np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
             take = pa.array(row, pa.int64())
-            columns = [batch.column(0).take(take), batch.column(1).take(take), pa.array(place), words.flatten()]
+            words = pa.array([w for own in lists for w in own], pa.string())
+            columns = [batch.column(0).take(take), batch.column(4).take(take), pa.array(place), words]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "h", "place", "word"])
 
+    # A hash in every row would be most of what is shuffled; rows of an id lie together, so it is known where it is needed.
+    own = Window.partitionBy("id")
+    told = dealt.withColumn("tag", F.when(F.min("h").over(own) != F.max("h").over(own), F.col("h")).otherwise(F.lit(0)))
     # In Python, so that every use reads all columns and can share one exchange.
-    return dealt.mapInArrow(run, "id long, h long, place int, word string")
+    return told.mapInArrow(run, "id long, h long, place int, word string")
 
 
-def encoded_words(words: DataFrame, path: str) -> DataFrame:
-    """(word, ids) of (word): ids as packed unsigned 32-bit integers, little end first."""
+def encoded(words: DataFrame, path: str) -> DataFrame:
+    """(id, h, found) of (id, h, place, word): every distinct word is merged once, in the task that has all its rows.
+
+    found: place and ids, both packed.
+    """
 
     def run(source):
         ranks = load_ranks(path)
-        for batch in source:
-            ids = [_packed_ids(merge(w, ranks)) for w in batch.column(0).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["word", "ids"])
+        last, ids = None, b""
+        for batch in source:  # in order of the word
+            out = []
+            for place, word in zip(batch.column(2).to_pylist(), batch.column(3).cast(pa.binary()).to_pylist(), strict=True):
+                if word != last:
+                    last, ids = word, _packed_ids(merge(word, ranks))
+                out.append(place.to_bytes(4, "big") + ids)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.binary())], names=["id", "h", "found"])
 
-    return words.mapInArrow(run, "word string, ids binary")
+    together = words.repartition("word").sortWithinPartitions("word")
+    return together.mapInArrow(run, "id long, h long, found binary")
 
 
-def _put_together(numbers: np.ndarray, known: Frequent, others: list[bytes]) -> bytes:
+def _put_together(numbers: np.ndarray, known: Frequent, others: list[np.ndarray]) -> bytes:
     """Ids of a text: of the frequent words by number, of the others in turn where the number is 0."""
     lengths = known.lengths[numbers]
     gaps = np.flatnonzero(numbers == 0)
-    lengths[gaps] = [len(x) >> 2 for x in others]
+    lengths[gaps] = [len(x) for x in others]
     ends = np.cumsum(lengths)
     starts = ends - lengths
     source = np.repeat(known.starts[numbers] - starts, lengths) + np.arange(ends[-1] if len(ends) else 0)
@@ -248,7 +290,7 @@ def _put_together(numbers: np.ndarray, known: Frequent, others: list[bytes]) ->
     own[np.repeat(starts[gaps], lengths[gaps]) + np.arange(lengths[gaps].sum()) - np.repeat(np.cumsum(lengths[gaps]) - lengths[gaps], lengths[gaps])] = True
     ids = np.empty(len(source), "<u4")
     ids[~own] = known.flat[source[~own]]
-    ids[own] = np.frombuffer(b"".join(others), "<u4")
+    ids[own] = np.concatenate(others)
     return ids.tobytes()
 
 
@@ -263,21 +305,23 @@ def encode(
     """(doc_id, ids): one row per row of `docs`; ids as packed unsigned 32-bit integers, little end first."""
     path = path or public_tokenizers.path(RANKS)
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    known = docs.sparkSession.sparkContext.broadcast(frequent_words(texts, path, pattern, frequent))
+    words = frequent_words(texts, pattern, frequent)
+    ranks, context = load_ranks(path), docs.sparkSession.sparkContext
+    numbers = context.broadcast({w: i for i, w in enumerate(words, 1)})
+    known = context.broadcast(Frequent([merge(w.encode(), ranks) for w in words]))
 
-    dealt = skeletons(texts, known, pattern).repartition("id", "h")
-    others = exploded(dealt)
-    ids = encoded_words(others.select("word").distinct(), path).select("word", F.col("ids").alias("word_ids"))
+    dealt = skeletons(texts, numbers, pattern).repartition("id")
     # Repeated rows bring the same words again: one of each place is enough.
-    filled = others.join(ids, "word").groupBy("id", "h").agg(F.collect_set(F.struct("place", "word_ids")).alias("filled"))
-    whole = dealt.join(filled, ["id", "h"], "left").select("id", "numbers", "words", "filled")
+    filled = encoded(exploded(dealt), path).groupBy("id").agg(F.collect_set(F.struct("h", "found")).alias("filled"))
+    # All columns, as in the other use of the exchange: then it is made once.
+    whole = dealt.join(filled, "id", "left").select("id", "h", "numbers", "words", "filled")
 
     def assemble(source: Iterator[pa.RecordBatch]):
-        for batch in source:
+        for batch in batches(BATCH_BYTES >> 2, 2)(source):
             out = []
-            for squeezed, filled_ in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                pieces = [x["word_ids"] for x in sorted(filled_ or (), key=lambda x: x["place"])]
-                out.append(_put_together(_stretch(squeezed), known.value, pieces))
+            for h, squeezed, filled_ in zip(*(batch.column(i).to_pylist() for i in (1, 2, 4)), strict=True):
+                own = sorted(x["found"] for x in filled_ or () if x["h"] in (0, h))
+                out.append(_put_together(_stretch(squeezed), known.value, [_unpacked_ids(x[4:]) for x in own]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc_id", "ids"])
 
     return whole.mapInArrow(assemble, "doc_id long, ids binary")
@@ -304,7 +348,7 @@ def decode(encoded: DataFrame, tokens: DataFrame) -> DataFrame:
 
     def run(source):
         known = shared.value
-        for batch in source:
+        for batch in batches(BATCH_BYTES)(source):
             out = [b"".join(map(known.__getitem__, np.frombuffer(ids, "<u4").tolist())) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.large_binary()).cast(pa.binary())], names=["doc_id", "ids", "decoded"])
 
