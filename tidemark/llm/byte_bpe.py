@@ -49,7 +49,7 @@ from tidemark.llm.common import batches, bounded_sample, settle, table
 FREQUENT = 300_000
 FREQUENT_BYTES = 48
 SAMPLE_TEXTS = 40_000
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -238,7 +238,7 @@ def exploded(dealt: DataFrame) -> DataFrame:
     """(id, h, place, word) of the words of `skeletons`; place counts these words alone. h is 0 but for ids with several texts."""
 
     def run(source: Iterator[pa.RecordBatch]):
-        for batch in batches(BATCH_BYTES >> 3, 3)(source):
+        for batch in batches(BATCH_BYTES, 3)(source):
             lists = [json.loads(zstandard.decompress(w)) if w else [] for w in batch.column(3).to_pylist()]
             lengths = np.array([len(w) for w in lists], np.int64)
             row = np.repeat(np.arange(len(lengths)), lengths)
@@ -317,7 +317,7 @@ def encode(
     whole = dealt.join(filled, "id", "left").select("id", "h", "numbers", "words", "filled")
 
     def assemble(source: Iterator[pa.RecordBatch]):
-        for batch in batches(BATCH_BYTES >> 2, 2)(source):
+        for batch in batches(BATCH_BYTES, 2)(source):
             out = []
             for h, squeezed, filled_ in zip(*(batch.column(i).to_pylist() for i in (1, 2, 4)), strict=True):
                 own = sorted(x["found"] for x in filled_ or () if x["h"] in (0, h))
