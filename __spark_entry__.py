@@ -480,7 +480,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**_QUERIES, **(llm_queries.QUERIES if llm_queries else {})}
+    return {**_QUERIES, **(llm_queries.QUERIES | llm_queries.FURTHER if llm_queries else {})}
 
 
 # SQL twins

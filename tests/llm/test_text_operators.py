@@ -153,6 +153,19 @@ def test_decontamination_edges(spark, odd, none):
     assert not any(r["contaminated"] for r in decontaminate.judge(odd, bench.limit(0)).collect())
 
 
+def test_near_passages_take_one_edit_anywhere(spark, tmp_path):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron".split()
+    edits = [e for i in range(5, 10) for e in ([*item[:i], "new", *item[i + 1 :]], [*item[:i], *item[i + 1 :]], [*item[:i], "new", *item[i:]])]
+    texts = [f"before {' '.join(e)} after" for e in edits if e[:10] != item[:10] and e[-10:] != item[-10:]]
+    texts += [" ".join(item), "alpha and nothing else of it"]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, " ".join(item))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = by_id(decontaminate.op3_near_passages(spark, str(tmp_path)))
+    last = len(texts) - 1
+    assert last > 12 and [got[i]["near_items"] for i in range(last + 1)] == [[1]] * (last - 1) + [[], []]
+    assert [i for i, r in got.items() if r["contaminated"]] == [last - 1] and all(r["n_near_items"] == len(r["near_items"]) for r in got.values())
+
+
 # Near-duplicates
 
 

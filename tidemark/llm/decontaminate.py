@@ -28,13 +28,15 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import batches, settle, table, word_bytes
 
 SIZE = 10
 PROBES = 2
+# With proximity matches: one word may be changed or missing, and two probes of its window still meet.
+NEAR_PROBES = 3
 SLOP = 5
 BLOCK_WORDS = 500_000
 BATCH_BYTES = 8 << 20
@@ -199,7 +201,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = SIZE, doc_id: s
 def _look_up(texts: DataFrame, part: DataFrame, size: int, near: bool) -> DataFrame:
     vocabulary = lambda df: {r[0].encode() for r in df.select("word").distinct().toLocalIterator()}
     counts = settle(word_counts(texts, vocabulary(part)), "word-counts")
-    chosen = settle(probes(part, counts, size), "probes")
+    chosen = settle(probes(part, counts, size, NEAR_PROBES if near else PROBES), "probes")
     index = settle(postings(texts, vocabulary(chosen)), "postings")
     return settle(alignments(index, chosen, near), "alignments")
 
@@ -219,18 +221,29 @@ def _compare(joined: DataFrame, size: int) -> DataFrame:
     return judged.withColumn("contaminated", F.col("n_hit") > 0)
 
 
-def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _contract(judged: DataFrame, *more: Column) -> DataFrame:
     as_text = F.array_sort(F.transform("items", lambda i: i.cast("string")))
-    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+    return judged.select(
         "doc_id",
         "n_words",
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(as_text, ",").cast("binary"), 256).alias("items_sha256"),
         "contaminated",
+        *more,
     )
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _contract(judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op3_near_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op3_decontaminate and the items that stand in a text nearly (`near_items`)."""
+    judged = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=True)
+    return _contract(judged, F.size("near_items").cast("long").alias("n_near_items"), F.col("near_items"))
+
+
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from tidemark.llm.byte_bpe import op5_byte_bpe
-from tidemark.llm.decontaminate import OP3_SQL, op3_decontaminate
+from tidemark.llm.decontaminate import OP3_SQL, op3_decontaminate, op3_near_passages
 from tidemark.llm.embedding_dedup import OP10_SQL, op10_embedding_dedup
 from tidemark.llm.html_extract import op7_html_extract
 from tidemark.llm.language import op8_language_id
@@ -28,6 +28,9 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
+# Registered besides: results that go beyond the columns of an operator's SQL twin.
+FURTHER = {"op3_near_passages": op3_near_passages}
+
 SQL = {
     "op1_line_dedup": OP1_SQL,
     "op3_decontaminate": OP3_SQL,
