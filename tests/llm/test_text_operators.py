@@ -310,6 +310,24 @@ def test_html_extraction(spark):
     assert html_extract.extract(nothing, html_extract.fit(nothing)).count() == 0
 
 
+def test_self_closed_svg():
+    text = lambda html: [b.text for b in html_blocks.blocks(html)]
+    for svg in ("<svg/>", "<svg />", '<svg class="a>b" hidden width=3 />', "<SVG a='/'/>"):
+        assert text(f"<p>a{svg}b</p><svg><title>x</title></svg>c") == ["a", "b", "c"], svg
+    for svg in ("<svg>", "<svg a=b/>", "<svg a='/>'>", "<svg / a>"):
+        assert text(f"<p>a{svg}b</p></svg>c") == ["a", "c"], svg
+
+
+def test_few_marked_pages_among_many(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(html_extract, "train", lambda learnt, seed: seen.append(len(learnt)))
+    marked = [(i, page(f"<p>text of page {i}</p>")) for i in range(12)]
+    for others in (0, 600):
+        rows = marked + [(100 + i, page(f"<p>text {i}</p>", 1)) for i in range(others)]
+        html_extract.fit(spark.createDataFrame(rows, "page_id long, html string"), most=20)
+    assert seen == [48, 48]
+
+
 def test_lstm_gradients():
     rng = np.random.default_rng(0)
     p = {k: v.astype(float) for k, v in html_extract.fresh().items()}

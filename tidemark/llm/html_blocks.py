@@ -11,6 +11,8 @@ PATH_SLOTS = 1024
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
+    # Of these elements only an svg can end where it begins; a slash at the end of an unquoted value is part of the value.
+    r"""|<(?P<closed>svg)(?=[\s/])(?:\s++|/(?!>)|[^\s"'>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+)*+/>"""
     r"|<(?P<raw>script|style|template|noscript|svg|iframe)\b[^>]*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*+>?"
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<more>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
@@ -75,7 +77,7 @@ def blocks(html: str) -> list[Block]:
     for m in _MARKUP.finditer(html):
         add(html[place : m.start()])
         place = m.end()
-        if m["raw"]:
+        if m["raw"] or m["closed"]:
             flush()
             continue
         if not m["tag"]:

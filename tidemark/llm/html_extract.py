@@ -5,8 +5,8 @@ tags, classes and ids on its path, its hashed words, a few proportions. A
 bidirectional LSTM in numpy reads the whole sequence, so each block is judged with all
 others of the page in view; blocks labelled main text are joined in order.
 
-It is trained here, on a bounded sample of the pages themselves. Pages that mark
-their article (article or main) give the labels; copies of them with the marks taken
+It is trained here, on a bounded sample of those pages themselves that mark their
+article (article or main). These give the labels; copies of them with the marks taken
 away, other names in their place, and further parts (comments, side columns, forms,
 notices, made of texts from other pages) teach it not to lean on one layout.
 
@@ -181,6 +181,7 @@ def train(pages: list[tuple[np.ndarray, np.ndarray]], epochs: int = 20, seed: in
 
 
 _OPEN = re.compile(r"<(article|main)\b([^>]*)>", re.I)
+_OPEN_SQL = r"(?i)<(article|main)\b[^>]*>"
 _SHUT = re.compile(r"</(article|main)\s*>", re.I)
 # Names that pages give their parts: main text, then other parts.
 MAIN_NAMES = ["content", "post", "entry", "article-body", "story", "main-content", "post-content", "text", "page-content"]
@@ -235,7 +236,8 @@ def variants(html: str, texts: list[str], rng: np.random.Generator, count: int =
 
 
 def fit(pages: DataFrame, page_id: str = "page_id", html: str = "html", most: int = MAX_PAGES, seed: int = 3) -> Model | None:
-    rows = pages.select(F.col(page_id).alias("id"), F.col(html).alias("html")).where("length(html) > 0")
+    """Learn from the pages that mark an article: all, or about `most` of them, however many pages there are besides."""
+    rows = pages.select(F.col(page_id).alias("id"), F.col(html).alias("html")).where(F.col("html").rlike(_OPEN_SQL))
     sample = sorted(bounded_sample(rows, "id", most).toArrow().to_pylist(), key=lambda r: (r["id"] is None, r["id"], r["html"]))
     rng = np.random.default_rng(seed)
     texts = [b.text for r in sample for b in blocks(r["html"]) if len(b.text) > 20] or ["text"]
