@@ -166,6 +166,28 @@ def test_near_passages_take_one_edit_anywhere(spark, tmp_path):
     assert [i for i, r in got.items() if r["contaminated"]] == [last - 1] and all(r["n_near_items"] == len(r["near_items"]) for r in got.values())
 
 
+def test_null_ids_keep_their_results(spark):
+    passage = "one two three four five six seven eight nine ten eleven twelve"
+    gpl = "This work is licensed under the GNU General Public License, version 3."
+    texts = ["thndon qqzyx wvut", passage, gpl, "thndon only", None, passage + " xkcdq"]
+    frame = documents(spark, texts, [None, None, None, 5, None, 6])
+    bench = spark.createDataFrame([(None, passage), (2, passage)], "item_id long, text string")
+
+    library, _ = tokenizer()
+    got = byte_bpe.encode(frame, frequent=0).collect()
+    order = lambda rows: sorted(rows, key=str)
+    want = [(i, library.encode_ordinary(t or "")) for i, t in zip([None, None, None, 5, None, 6], texts, strict=True)]
+    assert order((r["doc_id"], np.frombuffer(r["ids"], "<u4").tolist()) for r in got) == order(want)
+
+    got = decontaminate.judge(frame, bench).collect()
+    assert order((r["doc_id"], r["n_hit"], r["items"]) for r in got if r["contaminated"]) == order([(None, 12, [2, None]), (6, 12, [2, None])])
+    left = decontaminate.decontaminate(frame, bench).collect()
+    assert order((r["doc_id"], r["text"]) for r in left) == order((i, texts[k]) for k, i in ((0, None), (2, None), (3, 5), (4, None)))
+
+    got = licences.scan(frame).collect()
+    assert [(r["doc_id"], r["n_base"]) for r in got if r["labels"] == "gpl-3"] == [(None, 0)] and len(got) == 6
+
+
 # Near-duplicates
 
 

@@ -19,8 +19,8 @@ Texts are pre-tokenised in Python, as the split pattern needs Unicode classes; a
 characters are all below U+0100 takes a pattern with these classes written out.
 
 Defined cases: null and empty texts have no ids and decode to no bytes; rows are kept
-apart by doc_id and text, so rows that share a doc_id are each encoded, and repeated
-rows are given repeatedly; a word of any length is merged whole; extra columns do not matter.
+apart by doc_id and text, so rows that share a doc_id (or have a null one) are each encoded, and
+repeated rows are given repeatedly; a word of any length is merged whole; extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -211,7 +211,7 @@ def _stretch(squeezed: bytes) -> np.ndarray:
 
 
 def skeletons(docs: DataFrame, frequent, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """(id, h, numbers, words) of each (id, text): numbers of the frequent words in order, 0 for each of the others, and those (packed).
+    """(id, h, numbers, words, nameless) of each (id, text, nameless): numbers of the frequent words in order, 0 for each of the others, and those (packed).
 
     frequent: a broadcast of word to number. h: a hash of the text, which tells rows of one id apart.
     """
@@ -228,10 +228,11 @@ def skeletons(docs: DataFrame, frequent, pattern: str = public_tokenizers.PATTER
                 rest = [words[i] for i in np.flatnonzero(numbers == 0)]
                 others.append(pack(json.dumps(rest, ensure_ascii=False).encode()) if rest else None)
             columns = [pa.array(squeezed, pa.binary()), pa.array(others, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], names=["id", "h", "numbers", "words"])
+            columns = [batch.column(0), batch.column(2), *columns, batch.column(3)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "h", "numbers", "words", "nameless"])
 
-    keyed = docs.select("id", "text", F.xxhash64("text").alias("h"))
-    return keyed.mapInArrow(run, "id long, h long, numbers binary, words binary")
+    keyed = docs.select("id", "text", F.xxhash64("text").alias("h"), "nameless")
+    return keyed.mapInArrow(run, "id long, h long, numbers binary, words binary, nameless boolean")
 
 
 def exploded(dealt: DataFrame) -> DataFrame:
@@ -245,7 +246,7 @@ def exploded(dealt: DataFrame) -> DataFrame:
             place = (np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
             take = pa.array(row, pa.int64())
             words = pa.array([w for own in lists for w in own], pa.string())
-            columns = [batch.column(0).take(take), batch.column(4).take(take), pa.array(place), words]
+            columns = [batch.column(0).take(take), batch.column(5).take(take), pa.array(place), words]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "h", "place", "word"])
 
     # A hash in every row would be most of what is shuffled; rows of an id lie together, so it is known where it is needed.
@@ -304,7 +305,9 @@ def encode(
 ) -> DataFrame:
     """(doc_id, ids): one row per row of `docs`; ids as packed unsigned 32-bit integers, little end first."""
     path = path or public_tokenizers.path(RANKS)
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    # A row without a doc_id goes by its text. Should that be another's doc_id, h tells the two apart.
+    own_id = F.coalesce(F.col(doc_id), F.xxhash64(F.col(text)))
+    texts = docs.select(own_id.alias("id"), F.col(text).alias("text"), F.col(doc_id).isNull().alias("nameless"))
     words = frequent_words(texts, pattern, frequent)
     ranks, context = load_ranks(path), docs.sparkSession.sparkContext
     numbers = context.broadcast({w: i for i, w in enumerate(words, 1)})
@@ -314,7 +317,7 @@ def encode(
     # Repeated rows bring the same words again: one of each place is enough.
     filled = encoded(exploded(dealt), path).groupBy("id").agg(F.collect_set(F.struct("h", "found")).alias("filled"))
     # All columns, as in the other use of the exchange: then it is made once.
-    whole = dealt.join(filled, "id", "left").select("id", "h", "numbers", "words", "filled")
+    whole = dealt.join(filled, "id", "left").select("id", "h", "numbers", "words", "filled", "nameless")
 
     def assemble(source: Iterator[pa.RecordBatch]):
         for batch in batches(BATCH_BYTES, 2)(source):
@@ -322,7 +325,8 @@ def encode(
             for h, squeezed, filled_ in zip(*(batch.column(i).to_pylist() for i in (1, 2, 4)), strict=True):
                 own = sorted(x["found"] for x in filled_ or () if x["h"] in (0, h))
                 out.append(_put_together(_stretch(squeezed), known.value, [_unpacked_ids(x[4:]) for x in own]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc_id", "ids"])
+            named = pa.compute.if_else(batch.column(5), pa.scalar(None, pa.int64()), batch.column(0))
+            yield pa.RecordBatch.from_arrays([named, pa.array(out, pa.binary())], names=["doc_id", "ids"])
 
     return whole.mapInArrow(assemble, "doc_id long, ids binary")
 

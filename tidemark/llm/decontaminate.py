@@ -18,8 +18,9 @@ word that stands in very many documents can be split by the skew join.
 
 Defined cases: null or empty texts have no words and are never hit; an item without
 words has no window; repeated items count once per item_id (an item_id with several
-texts is hit if one of them is); documents that share a doc_id are judged each by
-its own text; extra columns do not matter.
+texts is hit if one of them is), and a null item_id is one more id; documents that
+share a doc_id, or have a null one, are judged each by its own text, and of those with a null
+one each stays or goes by itself; extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -161,7 +162,8 @@ def _hits(words: list[bytes], found: list[dict], size: int) -> tuple[int, list[i
                     same_item = True
                 run = 0
         (exact if same_item else near).add(one["item"])
-    return int((np.cumsum(hit) > 0).sum()), sorted(exact), sorted(near - exact)
+    in_order = lambda ids: sorted(ids, key=lambda i: (i is None, i or 0))
+    return int((np.cumsum(hit) > 0).sum()), in_order(exact), in_order(near - exact)
 
 
 def judge(
@@ -179,7 +181,12 @@ def judge(
 
     items: ids whose windows occur; near_items: ids with a proximity match and no window (looked for with `near`).
     """
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    return _judge(docs, items, size, doc_id, text, item_id, item_text, near, block_words).drop("key")
+
+
+def _judge(docs, items, size, doc_id="doc_id", text="text", item_id="item_id", item_text="text", near=False, block_words=BLOCK_WORDS) -> DataFrame:
+    """`judge` with the row's key, by which what is found comes back to it: never null, and one for each id and text."""
+    texts = docs.select(_key(doc_id, text).alias("id"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id"))
     words = settle(item_words(items, item_id, item_text), "item-words")
     blocks = -(-words.count() // block_words)
     found = docs.sparkSession.createDataFrame([], "id long, item long, version long, exact array<int>")
@@ -188,14 +195,22 @@ def judge(
         found = found.unionByName(_look_up(texts, part, size, near)) if block else _look_up(texts, part, size, near)
     whole = words.groupBy("item", "version").agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("w"))
     whole = whole.select("item", "version", F.array_join("w.word", " ").alias("words"))
-    met = found.join(whole, ["item", "version"]).groupBy("id").agg(F.collect_list(F.struct("item", "words", "exact")).alias("found"))
-    return _compare(texts.join(settle(met, "alignments"), "id", "left").select("id", "text", "found"), size)
+    same = found["version"].eqNullSafe(whole["version"]) & found["item"].eqNullSafe(whole["item"])
+    met = found.join(whole, same).select("id", found["item"], "words", "exact").groupBy("id").agg(F.collect_list(F.struct("item", "words", "exact")).alias("found"))
+    return _compare(texts.join(settle(met, "alignments"), "id", "left").select("id", "text", "found", "doc_id"), size)
+
+
+def _key(doc_id: str, text: str) -> Column:
+    return F.xxhash64(F.col(doc_id), F.col(text))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, size: int = SIZE, doc_id: str = "doc_id", **names) -> DataFrame:
-    """`docs` without the contaminated documents (all rows of a doc_id one of whose rows is)."""
-    gone = judge(docs, items, size, doc_id, **names).where("contaminated").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(settle(gone, "contaminated"), docs[doc_id] == F.col("gone"), "left_anti")
+    """`docs` without the contaminated documents (all rows of a doc_id one of whose rows is; of a null one, the row itself)."""
+    by_itself = lambda no_id, key: F.when(no_id, key).otherwise(F.lit(0))
+    judged = _judge(docs, items, size, doc_id, **names).where("contaminated")
+    gone = judged.select(F.col("doc_id").alias("gone"), by_itself(F.col("doc_id").isNull(), F.col("key")).alias("gone_key")).distinct()
+    own_key = by_itself(docs[doc_id].isNull(), F.xxhash64(docs[doc_id], docs[names.get("text", "text")]))
+    return docs.join(settle(gone, "contaminated"), docs[doc_id].eqNullSafe(F.col("gone")) & (own_key == F.col("gone_key")), "left_anti")
 
 
 def _look_up(texts: DataFrame, part: DataFrame, size: int, near: bool) -> DataFrame:
@@ -215,9 +230,10 @@ def _compare(joined: DataFrame, size: int) -> DataFrame:
                 out.append((len(words), *(_hits(words, found, size) if found else (0, [], []))))
             n, hit, exact, near = zip(*out, strict=True) if out else ((), (), (), ())
             columns = [pa.array(n, pa.int64()), pa.array(hit, pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in (exact, near))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n_words", "n_hit", "items", "near_items"])
+            names = ["doc_id", "n_words", "n_hit", "items", "near_items", "key"]
+            yield pa.RecordBatch.from_arrays([batch.column(3), *columns, batch.column(0)], names=names)
 
-    judged = joined.mapInArrow(run, "doc_id long, n_words long, n_hit long, items array<long>, near_items array<long>")
+    judged = joined.mapInArrow(run, "doc_id long, n_words long, n_hit long, items array<long>, near_items array<long>, key long")
     return judged.withColumn("contaminated", F.col("n_hit") > 0)
 
 

@@ -10,7 +10,7 @@ mandatory key phrases must stand in the file too.
 A file's words stay in its row; only the places of its rare words (few) are
 exploded, joined to the postings (fewer than a hundred rows, fixed by the templates)
 and counted, and narrow rows without texts are joined back. Rows are told apart by doc_id
-and a hash of the text, so rows that share a doc_id are judged each by its own text.
+and a hash of the text, so rows that share a doc_id (or have a null one) are judged each by its own text.
 
 Besides, fixed phrases are found wherever their words stand consecutively; they give
 the base labels and always count.
@@ -166,7 +166,8 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     worded = with_words(docs, doc_id, text)
     index = postings(document_frequencies(worded))
     files = settle(_read(worded, index), "licence-words")
-    placed = files.join(settle(_matches(files, index), "licences"), ["doc_id", "h"], "left")
+    matched = settle(_matches(files, index), "licences").withColumnsRenamed({"doc_id": "found_id", "h": "found_h"})
+    placed = files.join(matched, (F.col("h") == F.col("found_h")) & F.col("doc_id").eqNullSafe(F.col("found_id")), "left")
     bases = [F.col(f"base{i}") for i in range(len(BASE))]
     own = F.array_compact(F.array(*[F.when(b.isNotNull(), F.lit(label)) for b, label in zip(bases, BASE.values(), strict=True)]))
     joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
