@@ -11,6 +11,7 @@ from tidemark.llm.language import op8_language_id
 from tidemark.llm.licences import op6_license_scan
 from tidemark.llm.line_dedup import OP1_SQL, op1_line_dedup
 from tidemark.llm.near_dedup import op4_minhash_near_dedup
+from tidemark.llm.packing import op13_best_fit_packing
 from tidemark.llm.secret_scan import op2_secret_scan
 from tidemark.llm.toxicity import op9_toxicity
 
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op13_best_fit_packing": op13_best_fit_packing,
     "pipeline": corpus_pipeline.run,
 }
 
