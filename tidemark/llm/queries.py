@@ -13,6 +13,7 @@ from tidemark.llm.line_dedup import OP1_SQL, op1_line_dedup
 from tidemark.llm.near_dedup import op4_minhash_near_dedup
 from tidemark.llm.packing import op13_best_fit_packing
 from tidemark.llm.secret_scan import op2_secret_scan
+from tidemark.llm.spelling import op12_spelling_variants
 from tidemark.llm.toxicity import op9_toxicity
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_best_fit_packing": op13_best_fit_packing,
     "pipeline": corpus_pipeline.run,
 }
