@@ -28,7 +28,7 @@ def texts(spark):
 
 def test_one_query_for_each_operator():
     numbers = [name.split("_")[0] for name in queries.QUERIES if name != "pipeline"]
-    assert numbers == [f"op{n}" for n in range(1, 11)] and queries.QUERIES.items() <= registry.queries().items()
+    assert numbers == [f"op{n}" for n in range(1, 14)] and queries.QUERIES.items() <= registry.queries().items()
 
 
 @pytest.mark.parametrize("name", list(queries.SQL))

@@ -12,6 +12,7 @@ from tidemark.llm.licences import op6_license_scan
 from tidemark.llm.line_dedup import OP1_SQL, op1_line_dedup
 from tidemark.llm.near_dedup import op4_minhash_near_dedup
 from tidemark.llm.packing import op13_best_fit_packing
+from tidemark.llm.ranked_search import OP11_SQL, op11_ranked_search
 from tidemark.llm.secret_scan import op2_secret_scan
 from tidemark.llm.spelling import op12_spelling_variants
 from tidemark.llm.toxicity import op9_toxicity
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_ranked_search": op11_ranked_search,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_best_fit_packing": op13_best_fit_packing,
     "pipeline": corpus_pipeline.run,
@@ -39,4 +41,5 @@ SQL = {
     "op1_line_dedup": OP1_SQL,
     "op3_decontaminate": OP3_SQL,
     "op10_embedding_dedup": OP10_SQL,
+    "op11_ranked_search": OP11_SQL,
 }
