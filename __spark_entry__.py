@@ -31,10 +31,12 @@ from tidemark.session import fresh_path, settle  # noqa: E402
 from tidemark.sources import (  # noqa: E402
     read_current,
     read_landing,
+    read_snapshots,
     read_table,
     refresh,
     register,
     stream_landing,
+    stream_snapshots,
     write_clustered,
     write_dead_letters,
     write_landing,
@@ -99,12 +101,30 @@ def _landed(spark: SparkSession, sf: str, **options) -> str:
 
 
 def bronze_batch(spark, sf):
-    register(spark)
-    raw = spark.read.format("snapshot_files").option("source", "landed").load(_landed(spark, sf))
+    raw = bronze.from_landing(read_snapshots(spark, _landed(spark, sf)), "landed")
     event_id = F.get_json_object("payload", "$.event_id").cast("bigint")
     return raw.select("snapshot_id", "source", event_id.alias("event_id"), "payload")
 
 
+def bronze_batch_24h(spark, sf):
+    # The condition chooses the hour folders that the source lists and reads.
+    register(spark)
+    reader = spark.read.format("snapshot_files").option("source", "landed").option("hourFolders", "true")
+    raw = reader.load(_landed(spark, sf)).where(F.col("snapshot_id") >= F.lit(DAY_AGO).cast("timestamp"))
+    return raw.select("snapshot_id", "source", "payload")
+
+
+def bronze_from_manifest(spark, sf):
+    # Three captures are committed one after the other; each update reads the commits since the last.
+    rows, landing = feed.rows(spark, sf), fresh_path(spark, "landing")
+    out, checkpoint = fresh_path(spark, "bronze"), fresh_path(spark, "checkpoint")
+    for number in range(3):
+        write_landing(rows.where(F.col("event_id") % 3 == number), landing, "snapshot_id", commit=True)
+        raw = bronze.from_landing(stream_snapshots(spark, landing, commits="true"), "landed")
+        finish(bronze_stream(raw, out, checkpoint))
+    return bronze.kept(read_table(spark, out)).select("snapshot_id", "source", "payload")
+
+
 def bronze_stream_files(spark, sf):
     register(spark)
     out = fresh_path(spark, "bronze")
@@ -351,14 +371,27 @@ def backfill_any_order(spark, sf):
     return medallion.silver_table(spark, layout).select("symbol", "observed_at")
 
 
-def implausible_stamps(spark, sf):
+def compacted_silver(spark, sf):
+    # Captures come in three waves that are not in time order; closed days are packed after each.
+    rows = feed.rows(spark, sf, slot_minutes=None)
+    wave = F.pmod(F.xxhash64(F.to_date("snapshot_id")), F.lit(3))
+    layout, landing = medallion.Layout(fresh_path(spark, "tables")), fresh_path(spark, "landing")
+    for number in range(3):
+        write_landing(rows.where(wave == number), landing, "snapshot_id")
+        _, typed, _ = medallion.take_in(spark, landing, layout, "landed", state_partitions=_cores(spark))
+        medallion.pack(spark, layout, typed)
+    return _plain(medallion.silver_table(spark, layout).drop("dt"))
+
+
+def _with_stamps_ahead(spark, sf, stream):
     # Every tenth event is stamped twenty years on, long after its file.
     rows = feed.rows(spark, sf)
     ahead = F.when(F.col("event_id") % 10 == 0, F.col("snapshot_id") + F.expr("INTERVAL 20 YEARS"))
     landing = fresh_path(spark, "landing")
     write_landing(rows.withColumn("snapshot_id", F.coalesce(ahead, "snapshot_id")), landing, "snapshot_id")
     layout = medallion.Layout(fresh_path(spark, "tables"))
-    medallion.take_in(spark, landing, layout, "landed", state_partitions=_cores(spark))
+    raw = bronze.from_landing(stream(spark, landing), "landed")
+    medallion.take_in(spark, landing, layout, "landed", raw=raw, state_partitions=_cores(spark))
     letters = spark.read.schema("snapshot_id timestamp, source string, reason string, payload string")
     typed = medallion.silver_table(spark, layout)
     bad = letters.json(layout.table("quarantine"))
@@ -367,6 +400,14 @@ def implausible_stamps(spark, sf):
     )
 
 
+def implausible_stamps(spark, sf):
+    return _with_stamps_ahead(spark, sf, stream_landing)
+
+
+def implausible_stamps_by_name(spark, sf):
+    return _with_stamps_ahead(spark, sf, stream_snapshots)
+
+
 def medallion_update(spark, sf):
     layout = medallion.Layout(fresh_path(spark, "medallion"))
     landing = _landed(spark, sf, slot_minutes=None)
@@ -431,6 +472,8 @@ def capture_growth(spark, sf):
 
 _QUERIES = {
     "bronze_batch": bronze_batch,
+    "bronze_batch_24h": bronze_batch_24h,
+    "bronze_from_manifest": bronze_from_manifest,
     "bronze_stream": bronze_stream_files,
     "bronze_explode": bronze_explode,
     "landing_roundtrip": landing_roundtrip,
@@ -459,7 +502,9 @@ _QUERIES = {
     "clustered_write": clustered_write,
     "incremental_equals_full": incremental_equals_full,
     "backfill_any_order": backfill_any_order,
+    "compacted_silver": compacted_silver,
     "implausible_stamps": implausible_stamps,
+    "implausible_stamps_by_name": implausible_stamps_by_name,
     "medallion_update": medallion_update,
     "top_momentum": top_momentum,
     "change_distribution": change_distribution,
@@ -600,14 +645,20 @@ def oracle_sql() -> dict[str, str]:
         SELECT count(*) FILTER (pct_change_24h > 0) AS gainers, count(*) FILTER (pct_change_24h < 0) AS losers,
                count(*) FILTER (pct_change_24h = 0) AS unchanged,
                count(*) FILTER (pct_change_24h IS NULL) AS unknown FROM momentum"""
+    landed = f"SELECT snapshot_id, 'landed' AS source, {whole_payload} AS payload FROM feed"
+    stamped_ahead = """
+        SELECT DISTINCT upper(symbol) AS symbol, snapshot_id AS observed_at, CAST(NULL AS VARCHAR) AS reason
+        FROM feed WHERE event_id % 10 <> 0
+        UNION ALL SELECT upper(symbol), snapshot_id + INTERVAL 20 YEAR, 'capture_time_implausible'
+        FROM feed WHERE event_id % 10 = 0"""
     return {
         **(llm_queries.SQL if llm_queries else {}),
         "bronze_batch": feed_only(
             f"SELECT snapshot_id, 'landed' AS source, event_id, {whole_payload} AS payload FROM feed"
         ),
-        "bronze_stream": feed_only(
-            f"SELECT snapshot_id, 'landed' AS source, {whole_payload} AS payload FROM feed"
-        ),
+        "bronze_batch_24h": feed_only(f"{landed} WHERE snapshot_id >= TIMESTAMP '{DAY_AGO}'"),
+        "bronze_from_manifest": feed_only(landed),
+        "bronze_stream": feed_only(landed),
         "bronze_explode": f"""
             WITH feed AS ({_feed_sql()}), typed AS ({_TYPED})
             SELECT *, 'responses' AS source FROM typed""",
@@ -639,12 +690,9 @@ def oracle_sql() -> dict[str, str]:
         "silver_dedup": _with_silver("SELECT * FROM silver"),
         "silver_dedup_heavy": _with_silver("SELECT * FROM silver", "event_type"),
         "backfill_any_order": _with_silver("SELECT symbol, observed_at FROM silver"),
-        "implausible_stamps": feed_only(
-            """SELECT DISTINCT upper(symbol) AS symbol, snapshot_id AS observed_at, CAST(NULL AS VARCHAR) AS reason
-               FROM feed WHERE event_id % 10 <> 0
-               UNION ALL SELECT upper(symbol), snapshot_id + INTERVAL 20 YEAR, 'capture_time_implausible'
-               FROM feed WHERE event_id % 10 = 0"""
-        ),
+        "compacted_silver": _with_silver("SELECT * FROM silver", at="ts"),
+        "implausible_stamps": feed_only(stamped_ahead),
+        "implausible_stamps_by_name": feed_only(stamped_ahead),
         "silver_stream": _with_silver(
             "SELECT symbol, observed_at, CAST(observed_at AS DATE) AS dt FROM silver", "event_type"
         ),

@@ -12,11 +12,11 @@ from .plans import bronze, gold, monitors
 from .schemas import MOMENTUM, SILVER, VOLATILITY
 from .session import fresh_path, pin_utc
 from .sources.landing import stream_landing
+from .sources.packed_days import DayPaths, pack_closed_days, tidy, typed_rows
 from .sources.tables import (
     DAY,
     delete_folder,
     drop_old_versions,
-    exists,
     read_current,
     read_table,
     refresh,
@@ -24,7 +24,6 @@ from .sources.tables import (
 )
 from .streaming.runs import (
     BRONZE_STORED,
-    LATE,
     Audit,
     RunSummary,
     audit_stream,
@@ -74,11 +73,23 @@ def bronze_table(spark: SparkSession, layout: Layout) -> DataFrame:
     return bronze.kept(read_table(spark, layout.table("bronze"), BRONZE_STORED))
 
 
-def silver_table(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Typed rows: those of the stream, and those that came too late for it."""
-    rows = read_table(spark, layout.table("silver"), SILVER_STORED)
-    late = layout.table("silver_late")
-    return rows.unionByName(read_table(spark, late, LATE).drop("batch")) if exists(spark, late) else rows
+def day_paths(layout: Layout) -> DayPaths:
+    return DayPaths.of(layout.table("silver"))
+
+
+def silver_table(spark: SparkSession, layout: Layout, since: dt.date | None = None) -> DataFrame:
+    """Typed rows: packed days, those of the stream, and those that came too late for it; from the day `since` on."""
+    return typed_rows(spark, day_paths(layout), since)
+
+
+def pack(spark: SparkSession, layout: Layout, typed: RunSummary) -> list[dt.date]:
+    """Pack the days that the typed stream's last run has closed."""
+    return pack_closed_days(spark, day_paths(layout), typed.watermark) if typed.watermark else []
+
+
+def tidy_up(spark: SparkSession, layout: Layout, keep: int = 96) -> None:
+    """Delete files that packed days have replaced, once no reader is older than `keep` updates. To be run by hand or by a schedule."""
+    tidy(spark, day_paths(layout), keep)
 
 
 def momentum_view(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -104,11 +115,17 @@ def create_views(spark: SparkSession, layout: Layout, prefix: str = "") -> None:
         table(spark, layout).createOrReplaceTempView(f"{prefix}{name}")
 
 
+def _moment(as_of: str | dt.datetime) -> dt.datetime:
+    """In UTC, as `as_of_column` takes it."""
+    moment = dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
+    return moment if moment.tzinfo is None else moment.astimezone(dt.timezone.utc)
+
+
 def refresh_views(
     spark: SparkSession, layout: Layout, as_of: str | dt.datetime, keep_versions: int = 96
 ) -> None:
-    """Recompute the views from the typed table. A day of quarter-hour versions is kept."""
-    silver = silver_table(spark, layout)
+    """Recompute the views from the typed table's last days. A day of quarter-hour versions is kept."""
+    silver = silver_table(spark, layout, _moment(as_of).date() - dt.timedelta(days=gold.DAYS_READ))
     staging = fresh_path(spark, "momentum")
     try:
         refresh(gold.momentum(silver, as_of, staging=staging), layout.table("momentum"))
@@ -165,7 +182,7 @@ def take_in(
         rejects.stop()
         raise
     query, audit = audit_stream(
-        spark, path, layout.table("silver"), layout.table("silver_late"), layout.table("metrics"), layout.checkpoint("audit"), max_files
+        spark, path, day_paths(layout), layout.table("metrics"), layout.checkpoint("audit"), max_files, typed.watermark
     )
     finish(query)
     return taken, typed, audit
@@ -183,7 +200,7 @@ def run(
     state_partitions: int | None = None,
     **options,
 ) -> Update:
-    """Take in what has landed since the last run, recompute the views and the monitors.
+    """Take in what has landed since the last run, pack closed days, recompute the views and the monitors.
 
     `raw` replaces the landing reader by another stream of raw rows, for example
     `spark.readStream.format("snapshot_files")`. `as_of` defaults to the time when
@@ -192,6 +209,7 @@ def run(
     pin_utc(spark)
     began = time.monotonic()
     taken, typed, audit = take_in(spark, landing, layout, source, slot_minutes, max_files, raw, state_partitions, **options)
+    pack(spark, layout, typed)
     as_of = as_of or dt.datetime.now(dt.timezone.utc)
     refresh_views(spark, layout, as_of)
     refresh_monitors(spark, layout, as_of)

@@ -94,17 +94,21 @@ def kept(stored: DataFrame) -> DataFrame:
     return stored.where("verdict = 'kept'").drop("verdict")
 
 
+def quarantine_reason(bronze: DataFrame) -> Column:
+    """Why no typed table can use a row, or NULL. The text is only checked for being an object where no symbol was found."""
+    payload = F.col("payload")
+    no_symbol = F.get_json_object(payload, "$.symbol").isNull()
+    why = F.when(not_an_object(payload), "unparseable").otherwise("symbol_not_null")
+    return F.when(~keeps(RULES), RULES[0].name).when(implausible(bronze), IMPLAUSIBLE).when(no_symbol, why)
+
+
 def quarantine(bronze: DataFrame) -> DataFrame:
     """Rows no typed table can use, each with the reason. The payload is kept whole.
 
-    Stateless, so it serves batches and streams alike. The text is only checked
-    for being an object where no symbol was found. As in `functions.parse`, a
+    Stateless, so it serves batches and streams alike. As in `functions.parse`, a
     generator keeps the filter from computing the reason a second time.
     """
-    payload = F.col("payload")
-    no_symbol = F.get_json_object(payload, "$.symbol").isNull()
-    why = F.when(not_an_object(payload), "unparseable").otherwise("symbol_not_null")
-    reason = F.when(~keeps(RULES), RULES[0].name).when(implausible(bronze), IMPLAUSIBLE).when(no_symbol, why)
+    reason = quarantine_reason(bronze)
     return (
         bronze.select("snapshot_id", "source", F.explode(F.array(reason)).alias("reason"), "payload")
         .where("reason IS NOT NULL")

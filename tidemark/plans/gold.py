@@ -14,6 +14,9 @@ from ..schemas import MOMENTUM, VOLATILITY, conform
 
 AsOf = str | dt.datetime
 
+# Views look back so many days; a day more is read than the longest span has.
+DAYS_READ = 8
+
 # Settles the newest row should a table ever hold a (symbol, time) twice.
 TIES = ("name", "price_usd", "volume_24h_usd", "market_cap_usd", "pct_change_24h")
 

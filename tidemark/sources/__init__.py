@@ -1,7 +1,7 @@
 """Reading landed captures and reading or writing stored tables."""
 
 from .landing import read_landing, stream_landing, write_dead_letters, write_landing
-from .snapshot_files import SnapshotFiles, register
+from .snapshot_files import SnapshotFiles, read_snapshots, register, stream_snapshots
 from .tables import (
     append_stream,
     current_version,
@@ -21,11 +21,13 @@ __all__ = [
     "drop_old_versions",
     "read_current",
     "read_landing",
+    "read_snapshots",
     "read_table",
     "refresh",
     "register",
     "save_clustered_table",
     "stream_landing",
+    "stream_snapshots",
     "stream_table",
     "write_clustered",
     "write_dead_letters",

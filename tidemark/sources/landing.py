@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import iso_utc, slot, to_payload
+from .snapshot_files import COMMITS, commit_path
+from .tables import _files
 
 STAMP_KEY = "_ingestion_ts"
 MAX_FILE_AGE = "36500d"
@@ -19,9 +25,12 @@ LANDING = T.StructType(
 )
 
 
-def write_landing(rows: DataFrame, path: str, captured_at: str, mode: str = "append") -> None:
+def write_landing(rows: DataFrame, path: str, captured_at: str, mode: str = "append", commit: bool = False) -> int | None:
     """Land rows as JSON lines stamped with their capture time.
 
+    With `commit` the files are written aside, moved into place, and then named in the next numbered commit, all
+    or nothing; its number is returned. A stream by commits sees them from then on (`snapshot_files`).
+
     Each task takes a range of hours, so a task opens few files and an hour is
     spread over few tasks. Ranges go on by input split, so an hour with a third
     of all rows is shared out too. The number of ranges is set, as opening files
@@ -37,6 +46,7 @@ def write_landing(rows: DataFrame, path: str, captured_at: str, mode: str = "app
         F.spark_partition_id().alias("_split"),
     ).repartitionByRange(ranges, "_dt", "_hh", "_split")
     # Text is made after the shuffle: ranges are sampled first, and columns are smaller.
+    aside = f"{path}/_staging-{uuid.uuid4().hex}"
     (
         placed.select(
             to_payload([*columns, iso_utc(stamp).alias(STAMP_KEY)]).alias("value"),
@@ -45,8 +55,58 @@ def write_landing(rows: DataFrame, path: str, captured_at: str, mode: str = "app
         )
         .write.mode(mode)
         .partitionBy("dt", "hh")
-        .text(path)
+        .text(aside if commit else path)
     )
+    return _publish(rows.sparkSession, path, aside) if commit else None
+
+
+def _publish(spark: SparkSession, path: str, aside: str) -> int:
+    """Move the files under `aside` into the area, and name them in a commit.
+
+    A commit is a file that is created or not; two writers cannot take one number on a store that refuses to create a
+    file twice. Files that were moved by a writer that died belong to no commit.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    files, folder = _files(spark, aside)
+    root = files.makeQualified(hadoop.Path(path)).toString()
+    listed, moved = files.listFiles(folder, True), []
+    while listed.hasNext():
+        found = listed.next()
+        name = found.getPath().toString()[len(files.makeQualified(folder).toString()) + 1 :]
+        if name.startswith(("_", ".")) or "/_" in name or "/." in name:
+            continue
+        target = hadoop.Path(f"{root}/{name}")
+        files.mkdirs(target.getParent())
+        if not files.rename(found.getPath(), target):
+            raise OSError(f"could not move {name} into {path}")
+        moved.append((name, found.getLen(), found.getModificationTime() * 1_000_000))
+    files.delete(folder, True)
+    text = json.dumps({"files": moved}).encode()
+    number = _newest_commit(files, hadoop, root) + 1
+    while True:
+        target = hadoop.Path(f"{root}/{commit_path(number)}")
+        try:
+            out = files.create(target, False)
+        except Py4JJavaError:
+            if not files.exists(target):
+                raise
+            number += 1  # another writer was first
+            continue
+        out.write(text)
+        out.close()
+        return number
+
+
+def _newest_commit(files, hadoop, root: str) -> int:
+    newest = hadoop.Path(f"{root}/{COMMITS}")
+    for _ in range(2):
+        if not files.exists(newest):
+            return -1
+        names = [s.getPath() for s in files.listStatus(newest) if not s.getPath().getName().startswith((".", "_"))]
+        if not names:
+            return -1
+        newest = max(names, key=lambda p: p.getName())
+    return int(newest.getName().removesuffix(".json"))
 
 
 def write_dead_letters(rejects: DataFrame, path: str, mode: str = "append") -> None:

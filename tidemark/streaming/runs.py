@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.dedup import KEYS
 from ..operators.expectations import observe
 from ..plans import bronze, silver
-from ..schemas import BRONZE, LINEAGE, SILVER
-from ..sources.tables import BATCH, DAY, VERDICT, append_stream, exists, read_table, stored, stream_table
+from ..schemas import BRONZE, LINEAGE
+from ..session import fresh_path, settle
+from ..sources.packed_days import DayPaths, known_keys
+from ..sources.tables import VERDICT, append_stream, delete_folder, exists, stored, stream_table
 
 BRONZE_STORED = stored(BRONZE, *LINEAGE.fields, VERDICT)
 
@@ -22,10 +25,12 @@ class RunSummary:
     """Totals of one run over all its micro-batches.
 
     `complete` is false if the session keeps fewer progress reports than the run
-    had batches; the totals then miss the earliest ones.
+    had batches; the totals then miss the earliest ones. `watermark` is that of the last batch: every row dropped
+    so far was at or before it, and the stream adds none there any more. None if there was no batch, or no watermark.
     """
 
     complete: bool = True
+    watermark: dt.datetime | None = None
     batches: int = 0
     rows_in: int = 0
     late_rows: int = 0
@@ -46,6 +51,10 @@ def finish(query: StreamingQuery) -> RunSummary:
         summary.batches += 1
         summary.rows_in += progress.numInputRows
         summary.late_rows += sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
+        mark = (progress.eventTime or {}).get("watermark")
+        if mark:
+            moment = dt.datetime.fromisoformat(mark)
+            summary.watermark = max(summary.watermark or moment, moment)
         for name, row in (progress.observedMetrics or {}).items():
             totals = summary.metrics.setdefault(name, {})
             for key, count in row.asDict().items():
@@ -96,48 +105,51 @@ class Audit:
     repaired: int = 0
 
 
-LATE = stored(SILVER, DAY, BATCH)
-
-
 def audit_stream(
     spark: SparkSession,
     bronze_path: str,
-    silver_path: str,
-    late_path: str,
+    paths: DayPaths,
     metrics_path: str,
     checkpoint: str,
     max_files: int | None = None,
+    watermark: dt.datetime | None = None,
 ) -> tuple[StreamingQuery, Audit]:
     """Follow the raw table behind the typed stream: count its new rows, and repair what came late.
 
-    Rows behind the watermark are dropped by the typed stream. Here the keys of each batch of raw rows
-    are looked up in the typed table, in the days they fall into only, and what is missing is
-    written beside it; so the typed rows do not depend on the order in which files come.
+    Rows behind the watermark are dropped by the typed stream. Each batch of raw rows is counted in one pass. Only rows
+    at or before `watermark`, the last that the typed stream has used, can have been dropped (without it, any): if
+    there are such, their keys are looked up in the days they fall into, as far as those days' digests
+    do not rule them out, and what is missing is written beside the typed table. So the typed rows do not depend on the
+    order in which files come, and an update without old rows reads nothing twice.
     A batch has folders of its own that a repeated run of it overwrites. Start it when the typed stream has ended.
     """
     total = Audit()
+    at = F.col("snapshot_id")
 
     def take(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        counted = batch.agg(F.count("*").alias("rows"))
-        bad = bronze.quarantine(batch).agg(F.count("*").alias("quarantined"))
-        rows, quarantined = counted.first()[0], bad.first()[0]
-        typed = silver.build_batch(bronze.kept(batch)).withColumn("dt", F.to_date("observed_at"))
-        span = typed.agg(F.min("dt"), F.max("dt")).first()
-        repaired = 0
-        if span[0] is not None:
-            within = F.col("dt").between(F.lit(span[0]), F.lit(span[1]))
-            known = read_table(session, silver_path, stored(SILVER, DAY)).where(within).select(*KEYS)
-            if exists(session, late_path):
-                late = read_table(session, late_path, LATE).where(within & (F.col("batch") != number))
-                known = known.unionByName(late.select(*KEYS))
-            own = f"{late_path}/batch={number}"
-            typed.join(known, list(KEYS), "left_anti").write.mode("overwrite").partitionBy("dt").parquet(own)
-            repaired = read_table(session, own, stored(SILVER, DAY)).count()
-        counts = session.range(1).select(*[F.lit(v).cast("bigint").alias(k) for k, v in (("rows", rows), ("quarantined", quarantined), ("repaired", repaired))])
+        old = (F.col("verdict") == "kept") & (F.lit(True) if watermark is None else at <= F.lit(watermark))
+        rows, quarantined, overdue = batch.agg(
+            F.count(F.lit(1)), F.count_if(bronze.quarantine_reason(batch).isNotNull()), F.count_if(old)
+        ).first()
+        repaired = _repair(session, batch.where(old), number) if overdue else 0
+        counted = (("rows", rows), ("quarantined", quarantined), ("repaired", repaired))
+        counts = session.range(1).select(*[F.lit(v).cast("bigint").alias(k) for k, v in counted])
         counts.coalesce(1).write.mode("overwrite").parquet(f"{metrics_path}/batch={number}")
         total.rows, total.quarantined, total.repaired = total.rows + rows, total.quarantined + quarantined, total.repaired + repaired
 
+    def _repair(session: SparkSession, overdue: DataFrame, number: int) -> int:
+        aside = fresh_path(session, "overdue")
+        try:
+            typed = settle(silver.build_batch(bronze.kept(overdue)).withColumn("dt", F.to_date("observed_at")), "rows", aside)
+            missing = settle(typed.join(known_keys(session, paths, typed, number), list(KEYS), "left_anti"), "missing", aside)
+            count, own = missing.count(), f"{paths.late}/batch={number}"
+            if count or exists(session, own):
+                missing.write.mode("overwrite").partitionBy("dt").parquet(own)
+            return count
+        finally:
+            delete_folder(session, aside)
+
     source = _bronze_source(spark, bronze_path, max_files)
     query = source.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     return query, total
