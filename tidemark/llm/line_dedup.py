@@ -1,14 +1,16 @@
 """Line dedup: lines that many documents share stay in one of them.
 
-Lines are exploded with their positions and hashed; distinct documents are
+Lines are exploded with their positions and hashed, once; distinct documents are
 counted per hash; positions of lines over the threshold are dropped, and each
-text is put together again from the positions that stay. Only hashes and
+text is put together again from those that stay, in time linear in its lines. Only hashes and
 positions are shuffled for the counts, map-side combined, so a line that a third
-of all documents hold is one row per map task. Texts move once, by document.
+of all documents hold is one row per map task. The shared lines are stored, so their true size
+decides whether they travel to the tasks or are joined by a shuffle that splits uneven keys. Texts move once, by document.
 
 Defined cases: a null or empty text is one empty line and stays as an empty text;
 rows with the same doc_id are one document for the counts, and each is cut by its
-own lines; a line repeated inside the document that keeps it stays each time; extra
+own lines; rows with a null doc_id are no document: they count for no line and keep all of theirs; a line
+repeated inside the document that keeps it stays each time; a text may have any number of lines; extra
 columns pass through untouched.
 """
 
@@ -17,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import packed, table
+from tidemark.llm.common import packed, settle, table
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -37,12 +39,20 @@ def _lines(docs: DataFrame, text: str) -> Column:
     return F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
 
 
+def _row_hash(text: str) -> Column:
+    """Tells rows of one doc_id apart; equal rows need not be."""
+    return F.xxhash64(F.lit(2), F.col(text))
+
+
 def hashed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, pos, h1, h2) of every line whose key has `min_chars` code points: a 128-bit hash of the key."""
-    exploded = docs.select(F.col(doc_id).alias("doc"), F.posexplode(_lines(docs, text)).alias("pos", "line"))
-    keyed = exploded.where(F.char_length("line") >= min_chars).select("doc", "pos", line_key(F.col("line")).alias("key"))
+    """(doc, h, pos, h1, h2) of every line whose key has `min_chars` code points: the row's hash, a 128-bit hash of the key."""
+    named = docs.where(F.col(doc_id).isNotNull())
+    # The hash is taken below the generator: beside it, it would be taken of the whole text for each line.
+    split = named.select(F.col(doc_id).alias("doc"), _row_hash(text).alias("h"), _lines(docs, text).alias("lines"))
+    exploded = split.select("doc", "h", F.posexplode("lines").alias("pos", "line"))
+    keyed = exploded.where(F.char_length("line") >= min_chars).select("doc", "h", "pos", line_key(F.col("line")).alias("key"))
     return keyed.where(F.char_length("key") >= min_chars).select(
-        "doc", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2")
+        "doc", "h", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2")
     )
 
 
@@ -67,24 +77,26 @@ def dedup_lines(
 
     Names: a column of `docs` called like an added one is replaced.
     """
-    lines = hashed_lines(docs, min_chars, doc_id, text)
+    lines = settle(hashed_lines(docs, min_chars, doc_id, text), "lines")
+    shared = settle(shared_lines(lines, min_docs), "shared-lines")
     dropped = (
-        lines.join(shared_lines(lines, min_docs), ["h1", "h2"])
+        lines.join(shared, ["h1", "h2"])
         .where(F.col("doc") != F.col("keeper"))
-        .groupBy("doc")
-        .agg(F.collect_list(F.struct("pos", "h1")).alias("gone"))
+        .groupBy("doc", "h")
+        .agg(F.array_sort(F.collect_set("pos")).alias("gone"))
     )
-    own = packed(docs.drop("kept_text", "n_lines", "n_dropped"), doc_id, text)
-    joined = own.join(dropped, own["id"] == dropped["doc"], "left").withColumn("lines", _lines(own, "text"))
-    # A position goes if it is listed and, as rows may share a doc_id, the line there has the listed hash.
-    numbered = F.transform("lines", lambda line, i: F.struct(i.alias("pos"), F.xxhash64(line_key(line)).alias("h1")))
-    stay = F.transform(F.array_except(numbered, F.col("gone")), lambda x: F.get("lines", x["pos"]))
-    kept = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(stay)
-    return joined.withColumn("kept", kept).select(
+    own = packed(docs.drop("kept_text", "n_lines", "n_dropped"), doc_id, text).withColumn("own_h", _row_hash("text"))
+    joined = own.join(dropped, (own["id"] == dropped["doc"]) & (own["own_h"] == dropped["h"]), "left")
+    # By a generator, as an expression may be put into the lambdas below and be computed anew for each of their elements.
+    opened = joined.select("row", "text", "gone", F.inline(F.array(F.struct(_lines(own, "text").alias("lines")))))
+    # Of numbers, array_except is a hash look-up.
+    places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    kept = F.array_join(F.transform(places, lambda i: F.get("lines", i)), "\n")
+    return opened.select(
         "row.*",
-        F.array_join("kept", "\n").alias("kept_text"),
+        F.when(F.col("gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(kept).alias("kept_text"),
         F.size("lines").cast("long").alias("n_lines"),
-        (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"),
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_dropped"),
     )
 
 
