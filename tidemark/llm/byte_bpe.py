@@ -10,10 +10,12 @@
 4. A text is put together by position from the ids of its frequent and other words.
 
 A word that the sample does not show twice is rare in the corpus (its share is below some millionths but by
-chance), so no word fills a task of that shuffle.
+chance), so it fills no task of that shuffle. A word of more than `FREQUENT_BYTES` bytes is in no table, however
+common: these are dealt by the word and by one of `LONG_SHARES` shares of the documents, and merged once a share.
 
 A text's numbers are dealt out by document once (compressed); the other words are read from there and
-come back there. Decoding joins ids to the table of their bytes (one entry an id, a fixed size).
+come back there. Decoding joins ids to the table of their bytes (one entry an id, a fixed size); asked for with the
+encoding it is done in the same tasks.
 
 Texts are pre-tokenised in Python, as the split pattern needs Unicode classes; a text whose
 characters are all below U+0100 takes a pattern with these classes written out.
@@ -44,10 +46,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches, bounded_sample, settle, table
+from tidemark.llm.common import batches, bounded_sample, lean, settle, table
 
 FREQUENT = 300_000
 FREQUENT_BYTES = 48
+LONG_SHARES = 1_024
+# Tokens that are decoded at a time.
+STRETCH = 1 << 16
 SAMPLE_TEXTS = 40_000
 BATCH_BYTES = 1 << 20
 
@@ -169,7 +174,7 @@ def frequent_words(texts: DataFrame, pattern: str, most: int = FREQUENT) -> list
             [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
         )
 
-    counted = bounded_sample(texts, "id", SAMPLE_TEXTS).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = bounded_sample(texts, ["id", "text"], SAMPLE_TEXTS).mapInArrow(lean(run), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counted = settle(counted.where((F.col("n") > 1) & (F.octet_length("word") <= FREQUENT_BYTES)), "frequent")
     level = F.floor(F.log2("n") * 8).cast("int")
     sizes = counted.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()  # a few hundred rows
@@ -232,7 +237,7 @@ def skeletons(docs: DataFrame, frequent, pattern: str = public_tokenizers.PATTER
             yield pa.RecordBatch.from_arrays(columns, names=["id", "h", "numbers", "words", "nameless"])
 
     keyed = docs.select("id", "text", F.xxhash64("text").alias("h"), "nameless")
-    return keyed.mapInArrow(run, "id long, h long, numbers binary, words binary, nameless boolean")
+    return keyed.mapInArrow(lean(run), "id long, h long, numbers binary, words binary, nameless boolean")
 
 
 def exploded(dealt: DataFrame) -> DataFrame:
@@ -253,7 +258,7 @@ def exploded(dealt: DataFrame) -> DataFrame:
     own = Window.partitionBy("id")
     told = dealt.withColumn("tag", F.when(F.min("h").over(own) != F.max("h").over(own), F.col("h")).otherwise(F.lit(0)))
     # In Python, so that every use reads all columns and can share one exchange.
-    return told.mapInArrow(run, "id long, h long, place int, word string")
+    return told.mapInArrow(lean(run), "id long, h long, place int, word string")
 
 
 def encoded(words: DataFrame, path: str) -> DataFrame:
@@ -273,8 +278,9 @@ def encoded(words: DataFrame, path: str) -> DataFrame:
                 out.append(place.to_bytes(4, "big") + ids)
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.binary())], names=["id", "h", "found"])
 
-    together = words.repartition("word").sortWithinPartitions("word")
-    return together.mapInArrow(run, "id long, h long, found binary")
+    share = F.when(F.octet_length("word") > FREQUENT_BYTES, F.pmod(F.xxhash64("id"), F.lit(LONG_SHARES))).otherwise(F.lit(0))
+    together = words.repartition("word", share).sortWithinPartitions("word")
+    return together.mapInArrow(lean(run), "id long, h long, found binary")
 
 
 def _put_together(numbers: np.ndarray, known: Frequent, others: list[np.ndarray]) -> bytes:
@@ -302,8 +308,12 @@ def encode(
     doc_id: str = "doc_id",
     text: str = "text",
     frequent: int = FREQUENT,
+    tokens: DataFrame | None = None,
 ) -> DataFrame:
-    """(doc_id, ids): one row per row of `docs`; ids as packed unsigned 32-bit integers, little end first."""
+    """(doc_id, ids): one row per row of `docs`; ids as packed unsigned 32-bit integers, little end first.
+
+    With the table `tokens` also `decoded`, as by `decode`.
+    """
     path = path or public_tokenizers.path(RANKS)
     # A row without a doc_id goes by its text. Should that be another's doc_id, h tells the two apart.
     own_id = F.coalesce(F.col(doc_id), F.xxhash64(F.col(text)))
@@ -312,6 +322,7 @@ def encode(
     ranks, context = load_ranks(path), docs.sparkSession.sparkContext
     numbers = context.broadcast({w: i for i, w in enumerate(words, 1)})
     known = context.broadcast(Frequent([merge(w.encode(), ranks) for w in words]))
+    listed = context.broadcast(Bytes(tokens)) if tokens is not None else None
 
     dealt = skeletons(texts, numbers, pattern).repartition("id")
     # Repeated rows bring the same words again: one of each place is enough.
@@ -325,10 +336,12 @@ def encode(
             for h, squeezed, filled_ in zip(*(batch.column(i).to_pylist() for i in (1, 2, 4)), strict=True):
                 own = sorted(x["found"] for x in filled_ or () if x["h"] in (0, h))
                 out.append(_put_together(_stretch(squeezed), known.value, [_unpacked_ids(x[4:]) for x in own]))
-            named = pa.compute.if_else(batch.column(5), pa.scalar(None, pa.int64()), batch.column(0))
-            yield pa.RecordBatch.from_arrays([named, pa.array(out, pa.binary())], names=["doc_id", "ids"])
+            columns = {"doc_id": pa.compute.if_else(batch.column(5), pa.scalar(None, pa.int64()), batch.column(0)), "ids": pa.array(out, pa.binary())}
+            if listed is not None:
+                columns["decoded"] = pa.array(map(listed.value.of, out), pa.binary())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return whole.mapInArrow(assemble, "doc_id long, ids binary")
+    return whole.mapInArrow(lean(assemble), "doc_id long, ids binary" + (", decoded binary" if tokens is not None else ""))
 
 
 def token_bytes(spark: SparkSession, path: str | None = None) -> DataFrame:
@@ -337,26 +350,43 @@ def token_bytes(spark: SparkSession, path: str | None = None) -> DataFrame:
     return spark.createDataFrame([(i, bytearray(b)) for b, i in ranks.items()], "token_id int, bytes binary")
 
 
-def decode(encoded: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(doc_id, ids, decoded): the bytes of each row's ids, joined from the table `tokens`.
+class Bytes:
+    """The bytes of each id, end to end, of the table (token_id, bytes). One row for each id of the vocabulary, whatever the corpus."""
+
+    def __init__(self, tokens: DataFrame):
+        rows = tokens.toArrow()
+        ids = rows.column(0).to_numpy()
+        values = dict(zip(ids.tolist(), rows.column(1).to_pylist(), strict=True))
+        size = int(ids.max(initial=-1)) + 1
+        self.lengths = np.array([len(values.get(i, b"")) for i in range(size)], np.int32)
+        self.known = np.isin(np.arange(size), ids)
+        self.flat = np.frombuffer(b"".join(values.get(i, b"") for i in range(size)), np.uint8)
+        self.starts = (np.cumsum(self.lengths) - self.lengths).astype(np.int32)
+
+    def of(self, packed: bytes) -> bytes:
+        """The bytes of packed ids, joined. An id that is not in the table is an error."""
+        ids, parts = np.frombuffer(packed, "<u4"), []
+        if len(ids) and (ids.max() >= len(self.known) or not self.known[ids].all()):
+            raise KeyError("an id without bytes")
+        for begin in range(0, len(ids), STRETCH):
+            own = ids[begin : begin + STRETCH]
+            lengths = self.lengths[own]
+            ends = np.cumsum(lengths)
+            source = np.repeat(self.starts[own] - (ends - lengths), lengths) + np.arange(ends[-1])
+            parts.append(self.flat[source].tobytes())
+        return b"".join(parts)
 
-    The table has one row for each id of the vocabulary (tens of thousands, whatever the corpus), so it is
-    joined where the ids are. An id that it lacks is an error.
-    """
-    rows = tokens.toArrow()
-    size = max(rows.column(0).to_pylist(), default=-1) + 1
-    listed: list[bytes | None] = [None] * size
-    for i, value in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
-        listed[i] = value
-    shared = encoded.sparkSession.sparkContext.broadcast(listed)
+
+def decode(encoded: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(doc_id, ids, decoded): the bytes of each row's ids, joined from the table `tokens`, where the ids are."""
+    listed = encoded.sparkSession.sparkContext.broadcast(Bytes(tokens))
 
     def run(source):
-        known = shared.value
         for batch in batches(BATCH_BYTES)(source):
-            out = [b"".join(map(known.__getitem__, np.frombuffer(ids, "<u4").tolist())) for ids in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.large_binary()).cast(pa.binary())], names=["doc_id", "ids", "decoded"])
+            out = pa.array(map(listed.value.of, batch.column(1).to_pylist()), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), out], names=["doc_id", "ids", "decoded"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded binary")
+    return encoded.select("doc_id", "ids").mapInArrow(lean(run), "doc_id long, ids binary, decoded binary")
 
 
 def digests(decoded: DataFrame, keep_ids: bool = False) -> DataFrame:
@@ -370,4 +400,4 @@ def digests(decoded: DataFrame, keep_ids: bool = False) -> DataFrame:
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(decode(encode(table(spark, sf_dir, "documents")), token_bytes(spark)))
+    return digests(encode(table(spark, sf_dir, "documents"), tokens=token_bytes(spark)))

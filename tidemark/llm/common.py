@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import settle
 
-__all__ = ["HOLD_OUT", "WORD_BYTES", "batches", "bounded_sample", "in_train", "packed", "settle", "table", "word_bytes"]
+__all__ = ["HOLD_OUT", "WORD_BYTES", "SLICES", "batches", "bounded_sample", "in_train", "lean", "packed", "settle", "slice_of", "table", "word_bytes"]
 
 # Lower-cases A-Z and turns every other ASCII character that is not a letter or
 # digit into a space. Bytes of 0x80 and above (all of a non-ASCII character) stay.
@@ -42,16 +44,39 @@ def packed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[doc_id].alias("id"), docs[text].alias("text"))
 
 
-def bounded_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
-    """All of `rows`, or about `most` of them (at most 1.2 times as many, but for chance) chosen by a hash of `key`.
+# Samples are chosen by the hash of a row, out of so many slices.
+SLICES = 1 << 20
 
-    The choice depends on the rows alone, so a repeated run takes the same ones.
+
+def slice_of(*keys: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit("sample"), *keys), F.lit(SLICES))
+
+
+def bounded_sample(rows: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """All of `rows`, or about `most` of them (at most 1.2 times as many, but for chance) chosen by a hash of `keys`.
+
+    Name all that tells rows apart: rows with equal keys are in or out together. Should such rows alone break the bound,
+    they count as one. The choice depends on the rows alone, so a repeated run takes the same ones.
     """
     count = rows.count()
     if count <= most:
         return rows
-    slices = 1 << 20
-    return rows.where(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(slices)) < int(slices * most / count))
+    chosen = rows.where(slice_of(*keys) < int(SLICES * most / count))
+    return chosen if chosen.count() <= 1.2 * most else chosen.dropDuplicates(keys)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run`, with the worker's freed memory given back at the end of a task: workers go on to other stages."""
+
+    def whole(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(source)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return whole
 
 
 def batches(most_bytes: int, column: int = 1) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

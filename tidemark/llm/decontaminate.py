@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches, settle, table, word_bytes
+from tidemark.llm.common import batches, lean, settle, table, word_bytes
 
 SIZE = 10
 PROBES = 2
@@ -65,7 +65,7 @@ def item_words(items: DataFrame, item_id: str = "item_id", text: str = "text") -
                     )
 
     listed = items.select(F.col(item_id).cast("long").alias("item"), F.col(text).alias("text")).distinct()
-    return listed.mapInArrow(run, "item long, version long, place int, word string, length int").distinct()
+    return listed.mapInArrow(lean(run), "item long, version long, place int, word string, length int").distinct()
 
 
 def word_counts(docs: DataFrame, words: set[bytes]) -> DataFrame:
@@ -86,7 +86,7 @@ def word_counts(docs: DataFrame, words: set[bytes]) -> DataFrame:
             [pa.array(list(names[seen]), pa.binary()).cast(pa.string()), pa.array(counts[seen])], names=["word", "n"]
         )
 
-    return docs.select("id", "text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("id", "text").mapInArrow(lean(run), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def probes(items: DataFrame, counts: DataFrame, size: int = SIZE, most: int = PROBES) -> DataFrame:
@@ -119,7 +119,7 @@ def postings(docs: DataFrame, words: set[bytes]) -> DataFrame:
             columns = [pa.array(out_word, pa.binary()).cast(pa.string()), pa.array(out_id, pa.int64()), lists]
             yield pa.RecordBatch.from_arrays(columns, names=["word", "id", "positions"])
 
-    return docs.select("id", "text").mapInArrow(run, "word string, id long, positions array<int>")
+    return docs.select("id", "text").mapInArrow(lean(run), "word string, id long, positions array<int>")
 
 
 def alignments(index: DataFrame, probe_rows: DataFrame, near: bool = False, slop: int = SLOP) -> DataFrame:
@@ -233,7 +233,7 @@ def _compare(joined: DataFrame, size: int) -> DataFrame:
             names = ["doc_id", "n_words", "n_hit", "items", "near_items", "key"]
             yield pa.RecordBatch.from_arrays([batch.column(3), *columns, batch.column(0)], names=names)
 
-    judged = joined.mapInArrow(run, "doc_id long, n_words long, n_hit long, items array<long>, near_items array<long>, key long")
+    judged = joined.mapInArrow(lean(run), "doc_id long, n_words long, n_hit long, items array<long>, near_items array<long>, key long")
     return judged.withColumn("contaminated", F.col("n_hit") > 0)
 
 

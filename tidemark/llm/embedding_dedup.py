@@ -9,20 +9,25 @@
    are exact in single precision here, as long as their sums stay below 2^24 (longer
    vectors are multiplied in stretches).
 4. Pairs that may reach the threshold by the bound are computed again in double
-   precision from the vectors themselves. No pair at or above it is lost, none below is kept.
-5. Components of the links give the groups; links between classes count with the
-   classes' sizes.
+   precision from the vectors themselves, in the tile's task. No pair at or above it is lost, none below is kept.
+5. A tile hands on how many vectors each of its classes links with, and a spanning forest of its links: fewer rows than
+   it has vectors, however many links there are. Sums of the first are the link counts, components
+   of the second the groups.
 
 Comparing all vectors with all others is quadratic by its nature: pairs per task are
-bounded by the block, and blocks travel as codes (one byte a component).
+bounded by the block, and no pair becomes a row.
 
 Defined cases: null and empty vectors, zero vectors and those that hold a null or non-finite component
 link with nothing; vectors of different lengths do not link; rows repeated whole count
-once; a vec_id with several vectors gives one row for each; extra columns do not matter.
+once; a vec_id with several vectors gives one row for each, each a vector by itself with links of its own (that they share
+an id links them no more than others); a vector without a vec_id is linked and counted as any other, never names a component, and
+is kept only if no vector of its component has an id; extra columns do not matter.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,8 +38,9 @@ from tidemark.llm.components import components
 
 THRESHOLD = 0.9
 BLOCK = 4096
-# Rows of a tile that are multiplied at a time.
+# Rows of a tile that are multiplied at a time, and pairs that are computed again at a time.
 STRIP = 512
+PAIRS = 1 << 15
 _EXACT = 1 << 24
 
 
@@ -48,13 +54,12 @@ def quantise(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return codes, scale, np.linalg.norm(back, axis=1) + slack, np.linalg.norm(unit - back, axis=1) + slack
 
 
-def candidates(left: tuple, right: tuple, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Places (i, j) of the pairs of two quantised blocks whose cosine may reach the threshold; i < j in one block."""
+def candidate_strips(left: tuple, right: tuple, threshold: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j) of the pairs of two quantised blocks whose cosine may reach the threshold, strip by strip; i < j in one block."""
     (a, sa, _, ea), (b, sb, nb, eb) = left, right
     dims = a.shape[1]
     step = max(1, _EXACT // (127 * 127))
     b32 = b.astype(np.float32)
-    found = []
     for begin in range(0, len(a), STRIP):
         strip = a[begin : begin + STRIP].astype(np.float32)
         if dims <= step:
@@ -68,8 +73,50 @@ def candidates(left: tuple, right: tuple, threshold: float, same: bool) -> tuple
             i, j = i[begin + i < j], j[begin + i < j]
         value = product[i, j].astype(float) * sa[begin + i] * sb[j]
         may = value + ea[begin + i] * nb[j] + eb[j] >= threshold - 1e-9
-        found.append((begin + i[may], j[may]))
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+        yield begin + i[may], j[may]
+
+
+def candidates(left: tuple, right: tuple, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The same of all strips."""
+    first, second = zip(*candidate_strips(left, right, threshold, same), strict=True)
+    return np.concatenate(first), np.concatenate(second)
+
+
+def exact(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs (x[i], y[j]) have a cosine of at least the threshold in double precision."""
+    told = np.empty(len(i), bool)
+    for begin in range(0, len(i), PAIRS):
+        p, q = x[i[begin : begin + PAIRS]], y[j[begin : begin + PAIRS]]
+        dot, own, other = (np.einsum("nd,nd->n", *sides) for sides in ((p, q), (p, p), (q, q)))
+        told[begin : begin + PAIRS] = dot / (np.sqrt(own) * np.sqrt(other)) >= threshold
+    return told
+
+
+def forest(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(labels, i, j): trees joined by the links (i, j), and the links that joined them.
+
+    labels: for each node the number of its tree, the least node in it. Each round hooks every tree that has a
+    link to a lower one under the lowest of them, so no circle can come about.
+    """
+    taken_i, taken_j = [], []
+    while True:
+        a, b = labels[i], labels[j]
+        apart = a != b
+        if not apart.any():
+            break
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        high, low = np.maximum(a, b), np.minimum(a, b)
+        order = np.lexsort((low, high))
+        first = order[np.flatnonzero(np.diff(high[order], prepend=-1))]
+        taken_i.append(i[first])
+        taken_j.append(j[first])
+        parent = np.arange(len(labels))
+        parent[high[first]] = low[first]
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+        labels = parent[labels]
+    none = np.empty(0, np.int64)
+    return labels, np.concatenate([none, *taken_i]), np.concatenate([none, *taken_j])
 
 
 def comparable(vector: Column) -> Column:
@@ -79,31 +126,38 @@ def comparable(vector: Column) -> Column:
     return F.coalesce((F.size(values) > 0) & ~F.exists(values, bad) & F.exists(values, lambda x: x != 0), F.lit(False))
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector by the power of two that brings its largest component near 1: exact, and its square stays in range."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(1))[1][:, None])
+
+
 def _pack(group: pa.Table) -> pa.Table:
-    vectors = np.array(group.column("vector").to_pylist(), float)
+    vectors = _scaled(np.array(group.column("vector").to_pylist(), float))
     codes, scale, length, lost = quantise(vectors)
     first = lambda name: group.column(name).slice(0, 1)
-    packed = [group.column("id").to_numpy().astype(np.int64), codes, scale, length, lost]
+    numbers = [group.column(name).to_numpy().astype(np.int64) for name in ("id", "size")]
+    packed = [*numbers, codes, scale, length, lost, vectors]
     return pa.table(
         [first("dims"), first("block"), *(pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in packed)],
-        names=["dims", "block", "ids", "codes", "scale", "length", "lost"],
+        names=["dims", "block", *_COLUMNS],
     )
 
 
-_PACKED = "dims int, block int, ids binary, codes binary, scale binary, length binary, lost binary"
+_COLUMNS = ("ids", "sizes", "codes", "scale", "length", "lost", "vectors")
+_PACKED = "dims int, block int, " + ", ".join(f"{c} binary" for c in _COLUMNS)
 
 
 def tiles(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
-    """One row for every two blocks (or a block with itself) of (id, vector) with equal dimensions: x and y."""
+    """One row for every two blocks (or a block with itself) of (id, size, vector) with equal dimensions: x and y."""
     sized = vectors.withColumn("dims", F.size("vector"))
     many = sized.groupBy("dims").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     dealt = sized.join(many, "dims").withColumn(
         "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     )
-    packed = dealt.select("dims", "blocks", "block", "id", "vector")
+    packed = dealt.select("dims", "blocks", "block", "id", "size", "vector")
     counts = packed.select("dims", "blocks").distinct()
     rows = settle(packed.groupBy("dims", "block").applyInArrow(_pack, _PACKED), "blocks").join(counts, "dims")
-    whole = F.struct("ids", "codes", "scale", "length", "lost")
+    whole = F.struct(*_COLUMNS)
     block_ = F.col("block")
     left = rows.select("dims", block_.alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), whole.alias("x"))
     right = rows.select("dims", F.explode(F.sequence(F.lit(0), "block")).alias("i"), block_.alias("j"), whole.alias("y"))
@@ -115,28 +169,41 @@ def _unpacked(row: dict, dims: int) -> tuple:
     return (codes, *(np.frombuffer(row[c]) for c in ("scale", "length", "lost")))
 
 
-def possible_pairs(tile_rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b): pairs that the bound cannot rule out."""
+COUNT, LINK = 0, 1
+
+
+def tile_links(tile_rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(kind, a, b) of every tile: COUNT, a class and the vectors of the tile that each of its vectors links with in other classes;
+    LINK, two classes of a spanning forest of the tile's links."""
 
     def run(source):
         for batch in source:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
-                x, y = row["x"], row["y"]
-                i, j = candidates(_unpacked(x, row["dims"]), _unpacked(y, row["dims"]), threshold, row["i"] == row["j"])
-                ids = np.frombuffer(x["ids"], np.int64)[i], np.frombuffer(y["ids"], np.int64)[j]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(*ids)), pa.array(np.maximum(*ids))], names=["a", "b"])
-
-    return tile_rows.mapInArrow(run, "a long, b long")
-
-
-def exact_links(pairs: DataFrame, vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b, cosine) of the pairs whose cosine in double precision is at least the threshold."""
-    side = lambda s: vectors.select(F.col("id").alias(s), F.col("vector").alias(f"{s}_v"))
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda total, v: total + v)
-    joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    cosine = dot("a_v", "b_v") / (F.sqrt(dot("a_v", "a_v")) * F.sqrt(dot("b_v", "b_v")))
-    return joined.select("a", "b", cosine.alias("cosine")).where(F.col("cosine") >= threshold)
+                x, y, same = row["x"], row["y"], row["i"] == row["j"]
+                (ids_x, ids_y), (sizes_x, sizes_y) = (
+                    [np.frombuffer(side[c], np.int64) for side in (x, y)] for c in ("ids", "sizes")
+                )
+                exact_x, exact_y = (np.frombuffer(side["vectors"]).reshape(-1, row["dims"]) for side in (x, y))
+                ahead = 0 if same else len(ids_x)
+                ids = ids_x if same else np.concatenate([ids_x, ids_y])
+                linked, labels = np.zeros(len(ids), np.int64), np.arange(len(ids))
+                edges: list[tuple[np.ndarray, np.ndarray]] = []
+                for i, j in candidate_strips(_unpacked(x, row["dims"]), _unpacked(y, row["dims"]), threshold, same):
+                    true = exact(exact_x, exact_y, i, j, threshold)
+                    i, j = i[true], j[true]
+                    # Counts stay far below 2^53, where sums of doubles are exact.
+                    linked += np.bincount(i, sizes_y[j], len(ids)).astype(np.int64)
+                    linked += np.bincount(ahead + j, sizes_x[i], len(ids)).astype(np.int64)
+                    labels, *joined = forest(labels, i, ahead + j)
+                    edges.append(tuple(joined))
+                some = np.flatnonzero(linked)
+                i, j = (np.concatenate([e[side] for e in edges]) for side in (0, 1))
+                kind = np.repeat(np.array([COUNT, LINK], np.int32), [len(some), len(i)])
+                a, b = np.concatenate([ids[some], ids[i]]), np.concatenate([linked[some], ids[j]])
+                yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(a), pa.array(b)], names=["kind", "a", "b"])
+
+    return tile_rows.mapInArrow(run, "kind int, a long, b long")
 
 
 def near_vectors(
@@ -148,23 +215,24 @@ def near_vectors(
     keyed = own.withColumns({"h1": F.xxhash64("vector"), "h2": F.xxhash64(F.lit(1), "vector")})
     keyed = keyed.dropDuplicates(["id", "ok", "h1", "h2"])
     classes = keyed.where("ok").groupBy("h1", "h2").agg(
-        F.min("id").alias("rep"), F.count("*").alias("size"), F.any_value("vector").alias("vector")
+        F.min("id").alias("least"), F.count("*").alias("size"), F.any_value("vector").alias("vector")
     )
-    classes = settle(classes, "vector-classes")
-    vectors = classes.select(F.col("rep").alias("id"), "vector")
-    found = settle(exact_links(settle(possible_pairs(tiles(vectors, block), threshold), "pairs"), vectors, threshold), "links")
-    groups = components(found)
-
-    sizes = classes.select(F.col("rep").alias("other"), F.col("size").alias("other_size"))
-    both = found.select(F.col("a").alias("rep"), F.col("b").alias("other")).unionByName(found.select(F.col("b").alias("rep"), F.col("a").alias("other")))
-    linked = both.join(sizes, "other").groupBy("rep").agg(F.sum("other_size").alias("linked"))
-    told = classes.select("h1", "h2", "rep", "size").join(linked, "rep", "left").join(groups.withColumnRenamed("id", "rep"), "rep", "left")
-    told = told.select(
+    # A class has a number of its own: an id may have several vectors, or be null.
+    classes = settle(classes.withColumn("class", F.monotonically_increasing_id()), "vector-classes")
+    vectors = classes.select(F.col("class").alias("id"), "size", "vector")
+    found = settle(tile_links(tiles(vectors, block), threshold), "links")
+    groups = components(found.where(F.col("kind") == LINK).select("a", "b")).withColumnRenamed("id", "class")
+
+    linked = found.where(F.col("kind") == COUNT).groupBy(F.col("a").alias("class")).agg(F.sum("b").alias("linked"))
+    told = classes.drop("vector").join(linked, "class", "left").join(groups, "class", "left")
+    told = settle(told.withColumn("group", F.coalesce("component", "class")).drop("component", "class"), "vector-groups")
+    named = told.groupBy("group").agg(F.min("least").alias("component"))
+    told = told.join(named, "group").select(
         F.lit(True).alias("ok"),
         "h1",
         "h2",
         (F.col("size") - 1 + F.coalesce("linked", F.lit(0))).alias("links"),
-        F.coalesce("component", "rep").alias("component"),
+        "component",
     )
     placed = keyed.drop("vector").join(told, ["ok", "h1", "h2"], "left")
     component = F.coalesce("component", "id")
@@ -172,7 +240,7 @@ def near_vectors(
         F.col("id").alias("vec_id"),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"),
-        (F.col("id") == component).alias("kept"),
+        F.coalesce(F.col("id") == component, component.isNull()).alias("kept"),
     )
 
 

@@ -238,7 +238,7 @@ def variants(html: str, texts: list[str], rng: np.random.Generator, count: int =
 def fit(pages: DataFrame, page_id: str = "page_id", html: str = "html", most: int = MAX_PAGES, seed: int = 3) -> Model | None:
     """Learn from the pages that mark an article: all, or about `most` of them, however many pages there are besides."""
     rows = pages.select(F.col(page_id).alias("id"), F.col(html).alias("html")).where(F.col("html").rlike(_OPEN_SQL))
-    sample = sorted(bounded_sample(rows, "id", most).toArrow().to_pylist(), key=lambda r: (r["id"] is None, r["id"], r["html"]))
+    sample = sorted(bounded_sample(rows, ["id", "html"], most).toArrow().to_pylist(), key=lambda r: (r["id"] is None, r["id"], r["html"]))
     rng = np.random.default_rng(seed)
     texts = [b.text for r in sample for b in blocks(r["html"]) if len(b.text) > 20] or ["text"]
     marked = [blocks(v) for r in sample for v in variants(r["html"], texts, rng)]

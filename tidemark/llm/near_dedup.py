@@ -22,7 +22,8 @@ the threshold counts. Components of the links are the groups.
 Defined cases: a null or empty text, or one without a word, links with nothing; a
 text of fewer words than a shingle is one shingle of all its words; rows with the
 same doc_id are one document (if their texts differ, links are checked on the largest
-of them); extra columns do not matter.
+of them); a row without a doc_id is no document that a group could be named by: it is returned by itself, kept, without a
+class or component; texts of any length share a block with few others; extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD_BYTES, batches, settle, table
+from tidemark.llm.common import WORD_BYTES, batches, lean, settle, table
 from tidemark.llm.components import components
 from tidemark.llm.hashing import hash_spans, mix, seeded, shingle_hashes, unit, word_spans
 
@@ -46,6 +47,8 @@ BATCH_BYTES = 2 << 20
 # Buckets of more members are compared block by block inside tasks; of fewer, as rows of pairs.
 LISTED = 16
 BLOCK = 128
+# A block has about so many shingles besides, so very long texts are few in a block.
+BLOCK_SHINGLES = 1 << 20
 # Shingles that are compared at a time.
 COLUMNS = 4096
 
@@ -150,7 +153,7 @@ def sign(
                 names=["id", "n", "h1", "h2", "bands"],
             )
 
-    return docs.select("id", "text").mapInArrow(run, "id long, n long, h1 long, h2 long, bands array<long>")
+    return docs.select("id", "text").mapInArrow(lean(run), "id long, n long, h1 long, h2 long, bands array<long>")
 
 
 def shingle_rows(docs: DataFrame, size: int = WORDS, counted: bool = False) -> DataFrame:
@@ -172,7 +175,7 @@ def shingle_rows(docs: DataFrame, size: int = WORDS, counted: bool = False) -> D
             hashes = np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, hashes)], names=["id", "shingles"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, shingles array<long>")
+    return docs.select("id", "text").mapInArrow(lean(run), "id long, shingles array<long>")
 
 
 def links(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -211,10 +214,13 @@ def common_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
 _BLOCK = "ids binary, components binary, lengths binary, shingles binary"
 
 
-def block_links(members: DataFrame, sets: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
-    """(a, b): links between members (key, id, component, members) of one bucket that are in different components.
+def block_links(
+    members: DataFrame, sets: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK, block_shingles: int = BLOCK_SHINGLES
+) -> DataFrame:
+    """(a, b): links between members (key, id, component, members, total) of one bucket that are in different components.
 
-    A bucket's members are dealt by hash into blocks; every two blocks are a row, compared inside a task.
+    members, total: how many members the bucket has, and how many shingles these have. A bucket's members are dealt
+    by hash into blocks of about `block` members and `block_shingles` shingles at most; every two blocks are a row, compared inside a task.
     """
 
     def pack(group: pa.Table) -> pa.Table:
@@ -242,7 +248,7 @@ def block_links(members: DataFrame, sets: DataFrame, similarity: float = SIMILAR
                 i, j = np.nonzero(linked & (ca[:, None] != cb))
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a[i], b[j])), pa.array(np.maximum(a[i], b[j]))], names=["a", "b"])
 
-    blocks = F.ceil(F.col("members") / block).cast("int")
+    blocks = F.greatest(F.ceil(F.col("members") / block), F.ceil(F.col("total") / block_shingles)).cast("int")
     dealt = members.select("key", "id", "component", blocks.alias("blocks"), F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block"))
     counts = dealt.select("key", "blocks").distinct()
     rows = dealt.join(sets, "id").groupBy("key", "block").applyInArrow(pack, f"key long, block int, {_BLOCK}")
@@ -250,7 +256,7 @@ def block_links(members: DataFrame, sets: DataFrame, similarity: float = SIMILAR
     whole, number = F.struct("ids", "components", "lengths", "shingles"), F.col("block")
     left = rows.select("key", number.alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), whole.alias("x"))
     right = rows.select("key", F.explode(F.sequence(F.lit(0), "block")).alias("i"), number.alias("j"), whole.alias("y"))
-    return left.join(right, ["key", "i", "j"]).select("x", "y").mapInArrow(compare, "a long, b long").distinct()
+    return left.join(right, ["key", "i", "j"]).select("x", "y").mapInArrow(lean(compare), "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -270,6 +276,8 @@ def near_duplicates(
     """
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     signed = settle(sign(texts, size, bands, rows, counted), "signatures")
+    nameless = signed.where("id IS NULL")
+    signed = signed.where("id IS NOT NULL")
     worded = signed.where("n > 0")
     classes = worded.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
     reps = worded.join(classes.select("h1", "h2", F.col("rep").alias("id")), ["h1", "h2", "id"], "left_semi")
@@ -285,9 +293,9 @@ def near_duplicates(
     comp = components(found)
     placed = buckets.join(comp, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
     mixed = placed.groupBy("key").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("members")
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("members"), F.sum("n").alias("total")
     )
-    placed = settle(placed.join(mixed.where("least <> most").select("key", "members"), "key"), "mixed")
+    placed = settle(placed.join(mixed.where("least <> most").select("key", "members", "total"), "key"), "mixed")
     few = placed.where(F.col("members") <= LISTED)
     x, y = few.alias("x"), few.alias("y")
     across = x.join(y, F.col("x.key") == F.col("y.key")).where(
@@ -306,9 +314,11 @@ def near_duplicates(
     one = placed.groupBy("id").agg(
         F.max("n").alias("n_shingles"), F.min("rep").alias("class_id"), F.min(F.coalesce("component", "rep")).alias("component_id")
     )
+    none = F.lit(None).cast("long")
+    alone = nameless.select(none.alias("doc_id"), F.col("n").alias("n_shingles"), none.alias("class_id"), none.alias("component_id"), F.lit(True).alias("kept"))
     return one.select(
         F.col("id").alias("doc_id"), "n_shingles", "class_id", "component_id", (F.col("id") == F.col("component_id")).alias("kept")
-    )
+    ).unionByName(alone)
 
 
 def _shared_buckets(rows: DataFrame) -> DataFrame:

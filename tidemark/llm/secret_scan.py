@@ -148,7 +148,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int =
             [pa.array(kind.astype(np.int32)), pa.array(cell.astype(np.int32)), pa.array(total[kind, cell])], names=["kind", "cell", "n"]
         )
 
-    sample = bounded_sample(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), "id", most)
+    sample = bounded_sample(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), ["id", "text"], most)
     summed = sample.mapInArrow(run, "kind int, cell int, n long").groupBy("kind", "cell").agg(F.sum("n").alias("n")).toArrow()
     total = np.zeros((2, (_N + 1) * _N))
     total[summed.column(0).to_numpy(), summed.column(1).to_numpy()] = summed.column(2).to_numpy()

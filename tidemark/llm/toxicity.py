@@ -17,7 +17,8 @@ rows: at most about `MAX_POSITIVE` confirmed texts and `MAX_UNLABELLED` others;
 the same rows give the features and the weights.
 
 Defined cases: a null or empty text has no words and gets the score of a text
-without any feature; repeated rows are scored each for itself; a document whose
+without any feature; repeated rows are scored each for itself, and learned from once; a row without a doc_id is
+scored, never learned from, and `held_out`; a document whose
 labels disagree is not a confirmed one; without any confirmed text every score is
 the prior's, 0. Extra columns are left alone.
 """
@@ -32,7 +33,7 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches, bounded_sample, in_train, settle, table, word_bytes
+from tidemark.llm.common import batches, bounded_sample, in_train, lean, settle, table, word_bytes
 from tidemark.llm.hashing import hash_words
 
 SLOTS = 1 << 18
@@ -76,11 +77,11 @@ def slot_rows(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
                 [batch.column(0), batch.column(2), pa.ListArray.from_arrays(offsets, values)], names=["id", "kind", "slots"]
             )
 
-    return docs.select("id", "text", "kind").mapInArrow(run, "id long, kind int, slots array<int>")
+    return docs.select("id", "text", "kind").mapInArrow(lean(run), "id long, kind int, slots array<int>")
 
 
-def kinds(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """(id, kind): kind 1 for a confirmed toxic text, 0 for any other; held-out rows are not there.
+def kinds(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, h, kind): kind 1 for a confirmed toxic text, 0 for any other; h: the text's hash. Held-out rows are not there.
 
     Only the confirmed label is used. A row labelled clean is unlabelled to the learner.
     """
@@ -90,9 +91,9 @@ def kinds(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id") -> DataFra
         .where("low = 1 AND high = 1")
         .select("labelled")
     )
-    ids = docs.select(F.col(doc_id).alias("id")).where(in_train("id"))
+    ids = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("h")).where(in_train("id"))
     joined = ids.join(agreed, ids["id"] == agreed["labelled"], "left")
-    return joined.select("id", F.col("labelled").isNotNull().cast("int").alias("kind"))
+    return joined.select("id", "h", F.col("labelled").isNotNull().cast("int").alias("kind"))
 
 
 def fit(
@@ -106,14 +107,17 @@ def fit(
 ) -> Model:
     known = labels.where(in_train("doc_id")).agg(F.avg(F.col("toxic").cast("double"))).first()[0]
     prior = min(max(known or 0.0, 1e-3), 0.5)
-    rows = kinds(docs, labels, doc_id)
+    rows = settle(kinds(docs, labels, doc_id, text), "toxic-kinds")
     # The unlabelled sample is drawn from all rows, confirmed or not: then the prior of toxic texts is the prior there.
-    chosen = bounded_sample(rows.where("kind = 1"), "id", max_positive).unionByName(
-        bounded_sample(rows.withColumn("kind", F.lit(0)), "id", max_unlabelled)
+    chosen = bounded_sample(rows.where("kind = 1"), ["id", "h"], max_positive).unionByName(
+        bounded_sample(rows.withColumn("kind", F.lit(0)), ["id", "h"], max_unlabelled)
     )
-    # The sample's bound is the bound of this broadcast: ids only, so texts need no shuffle.
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    sample = slot_rows(texts.join(F.broadcast(settle(chosen.distinct(), "toxic-sample")), "id")).toArrow().sort_by([("id", "ascending"), ("kind", "ascending")])
+    # The sample's bound is the bound of this broadcast: ids and hashes only, so texts need no shuffle to be found.
+    texts = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+    found = texts.join(F.broadcast(settle(chosen.distinct(), "toxic-sample")), ["id", "h"])
+    # A row that is repeated whole counts once: there may be any number of it.
+    found = found.dropDuplicates(["id", "h", "kind"])
+    sample = slot_rows(found).toArrow().sort_by([("id", "ascending"), ("kind", "ascending")])
     kind = sample.column("kind").to_numpy()
     lists = sample.column("slots").combine_chunks()
     return fit_slots(kind, np.cumsum([0, *pa.compute.list_value_length(lists).to_pylist()]), lists.flatten().to_numpy(), prior, seed)
@@ -197,7 +201,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
             value = 1 / (1 + np.exp(-np.clip(model.margin(x).astype(float), -40, 40)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value)], names=["id", "score"])
 
-    return docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).mapInArrow(run, "id long, score double")
+    return docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).mapInArrow(lean(run), "id long, score double")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,7 +209,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score(docs, fit(docs, table(spark, sf_dir, "labels")))
     return scored.select(
         F.col("id").alias("doc_id"),
-        (~in_train("id")).alias("held_out"),
+        F.coalesce(~in_train("id"), F.lit(True)).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
