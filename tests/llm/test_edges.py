@@ -1,5 +1,8 @@
 """Edge cases of the operators: long texts, null and repeated ids, hot groups."""
 
+import random
+import re
+import string
 import time
 import zlib
 from collections import Counter
@@ -9,7 +12,8 @@ import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
-from tidemark.llm import byte_bpe, common, embedding_dedup, language, line_dedup, near_dedup, toxicity
+from tidemark.llm import byte_bpe, common, decontaminate, embedding_dedup, html_blocks, html_extract, language, line_dedup
+from tidemark.llm import near_dedup, queries, secret_scan, toxicity
 
 
 def test_line_dedup_is_linear_in_a_texts_lines(spark):
@@ -223,3 +227,104 @@ def test_decoding_an_unknown_id_is_an_error(spark):
             known.of(packed(0, wrong))
     many = packed(*[3, 0] * 100_000)
     assert known.of(many) == b"bcda" * 100_000
+
+
+def test_pages_of_many_blocks_are_learned_from_and_read(spark):
+    side = "<nav><a href='/'>menu entry</a></nav><div class='ad'>buy this now</div>"
+    page = lambda n, k: f"<html><body>{side}<article>" + "".join(f"<p>Sentence {i} of page {k}, with words.</p>" for i in range(n)) + f"</article>{side}</body></html>"
+    rows = [(k, page(450, k), 1) for k in range(5)]
+    pages = spark.createDataFrame(rows, "page_id long, html string, n_chars int")
+    model = html_extract.fit(pages)
+    assert model is not None
+    # A page without marks, of very many blocks: all of its sentences, none of its sides.
+    plain = page(100_000, 9).replace("article", "div")
+    got = html_extract.extract(spark.createDataFrame([(1, plain)], "page_id long, html string"), model).first()
+    want = " ".join(f"Sentence {i} of page 9, with words." for i in range(100_000))
+    assert got["n_chars"] == len(got["text"]) and abs(got["n_chars"] - len(want)) < len(want) / 100
+    own = html_extract.extract(pages, model).collect()
+    assert all(r["text"].startswith(f"Sentence 0 of page {r['page_id']}") and "menu" not in r["text"] for r in own)
+
+
+def test_a_long_page_gives_a_bounded_number_of_windows():
+    rng = np.random.default_rng(1)
+    page = [html_blocks.Block(f"w{i}", [1, 2], 0, i % 2) for i in range(4_000)]
+    found = html_extract.windows(page, rng)
+    assert len(found) == html_extract.MAX_WINDOWS and all(end - begin == len(labels) == html_extract.WINDOW for _, begin, end, labels in found)
+    assert [(a, b) for _, a, b, _ in html_extract.windows(page[:450], rng)] == [(0, 400), (400, 450)]
+
+
+def test_sparse_rows_are_the_dense_ones():
+    page = html_blocks.blocks("<body class='x y'><nav>menu menu</nav><main><p>One two, one.<p>Three <a href='/'>four</a></main>")
+    sheet, e = html_extract.Sheet(page), html_extract.fresh()["e"]
+    dense = sheet.dense(0, len(page))
+    assert np.allclose(dense @ e, sheet.projected(e), atol=1e-5)
+    words = dense[:, html_blocks.PATH_SLOTS : html_extract.SPARSE]
+    assert np.allclose((words**2).sum(1), 1) and dense[:, : html_blocks.PATH_SLOTS].max() == 1
+    x = np.zeros((1, len(page), dense.shape[1]), np.float32)
+    x[0] = dense
+    p = html_extract.fresh()
+    whole, _ = html_extract.forward(p, x, np.array([len(page)]))
+    assert np.allclose(html_extract.Model(p).logits([page])[0], whole[0], atol=1e-4)
+
+
+def test_a_pages_own_marks_do_not_count():
+    page = "<body><div data-truth='1'>side</div><article data-truth=\"0\"><p>main</p></article></body>"
+    marked = html_extract.variants(page, ["text"], np.random.default_rng(0))[0]
+    assert [(b.text, b.truth) for b in html_blocks.blocks(marked)] == [("side", 0), ("main", 1)]
+
+
+def test_html_query_against_the_marked_text(spark):
+    path = "/root/testdata/sf0.001"
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{path}/pages.parquet").collect()}
+    rows = queries.QUERIES["op7_html_extract"](spark, path).collect()
+    assert {r["page_id"] for r in rows} == set(pages)
+    scores = []
+    for r in rows:
+        assert r["n_chars"] == len(r["text"])
+        found = html_extract.variants(pages[r["page_id"]] or "", ["text"], np.random.default_rng(0))
+        if found:
+            want = Counter(" ".join(b.text for b in html_blocks.blocks(found[0]) if b.truth).split())
+            got = Counter(r["text"].split())
+            both = sum((want & got).values())
+            scores.append(2 * both / max(1, sum(want.values()) + sum(got.values())))
+    assert len(scores) > len(pages) / 2 and np.mean(scores) > 0.9
+
+
+def test_random_strings_of_many_forms_are_found_and_ordinary_ones_are_not(spark):
+    path = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    model = secret_scan.fit(docs)
+    rng = random.Random(1)
+    forms = {
+        string.ascii_letters + string.digits: (16, 20, 32), "0123456789ABCDEF": (16, 32), "0123456789abcdef": (16, 20),
+        string.ascii_letters: (16, 24), string.ascii_lowercase: (20, 24), "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567": (20, 26),
+    }
+    for alphabet, lengths in forms.items():
+        for n in lengths:
+            keys = ["".join(rng.choices(alphabet, k=n)) for _ in range(300)]
+            assert np.mean([model.is_secret(k) for k in keys]) > 0.93, (alphabet, n)
+    plain = ["x" * 30, "ab" * 12, "A" * 16, "abcabcabcabcabcabc", "X-X-X-X-X-X-X-X-X-", "1234567890123456", "2024-01-30/10-15-00", "=" * 40]
+    assert not any(map(model.is_secret, plain))
+    # Whole texts: ordinary runs of this length are left alone.
+    texts = [r["text"] for r in docs.select("text").collect() if r["text"]]
+    runs = [(text, m) for text in texts for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", text)]
+    ordinary = [m[0] for text, m in runs if not secret_scan.Covered(secret_scan.fixed_spans(text)).meets(*m.span())]
+    found = [r for r in ordinary if model.is_secret(r)]
+    assert len(found) <= max(1, len(ordinary) // 50)
+
+
+def test_decontamination_of_texts_that_repeat_a_word(spark):
+    items = [(1, "la " * 1_600), (2, "one two three " * 40), (3, "la la la na na na la la la na na na"), (4, "x " + "la " * 9 + "y")]
+    texts = ["la " * 16_000, "la " * 9, "three one two " * 50, "na " * 30 + "la " * 12, "a b " + "la " * 9 + "y z", "x " + "la " * 9 + "y", None, "la la la na na na la la la na"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    began = time.monotonic()
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in decontaminate.judge(docs, bench).collect()}
+    assert time.monotonic() - began < 20
+    from test_text_operators import plain_hits
+
+    assert got == {i: plain_hits(t, items) for i, t in enumerate(texts)}
+    # One window of the many equal ones is looked up: two probes.
+    words = decontaminate.item_words(bench.where("item_id = 1"))
+    none = spark.createDataFrame([], "word string, n long")
+    assert decontaminate.probes(words, none).count() == decontaminate.PROBES

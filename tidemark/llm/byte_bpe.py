@@ -46,7 +46,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches, bounded_sample, lean, settle, table
+from tidemark.llm.common import batches, bounded_sample, lean, narrow, settle, table
 
 FREQUENT = 300_000
 FREQUENT_BYTES = 48
@@ -314,6 +314,7 @@ def encode(
 
     With the table `tokens` also `decoded`, as by `decode`.
     """
+    narrow(docs.sparkSession)
     path = path or public_tokenizers.path(RANKS)
     # A row without a doc_id goes by its text. Should that be another's doc_id, h tells the two apart.
     own_id = F.coalesce(F.col(doc_id), F.xxhash64(F.col(text)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import settle
 
-__all__ = ["HOLD_OUT", "WORD_BYTES", "SLICES", "batches", "bounded_sample", "in_train", "lean", "packed", "settle", "slice_of", "table", "word_bytes"]
+__all__ = ["HOLD_OUT", "WORD_BYTES", "SLICES", "batches", "bounded_sample", "in_train", "lean", "narrow", "packed", "settle", "slice_of", "table", "word_bytes"]
 
 # Lower-cases A-Z and turns every other ASCII character that is not a letter or
 # digit into a space. Bytes of 0x80 and above (all of a non-ASCII character) stay.
@@ -25,7 +26,22 @@ WORD_BYTES = bytes(
 HOLD_OUT = 5
 
 
+# Texts are long rows: a task needs few of them at a time, and holds every batch several times over.
+ARROW_BYTES = 4 << 20
+
+
+def narrow(spark: SparkSession) -> None:
+    """Let the session's Arrow batches hold at most `ARROW_BYTES`, as queries are planned when they run. A lower setting stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name)
+    units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    size = re.fullmatch(r"(-?\d+)([bkmg]?)b?", now.strip().lower())
+    if size and not 0 < int(size[1]) * units[size[2] or "b"] <= ARROW_BYTES:
+        spark.conf.set(name, str(ARROW_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    narrow(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches, lean, settle, table, word_bytes
+from tidemark.llm.common import batches, lean, narrow, settle, table, word_bytes
 
 SIZE = 10
 PROBES = 2
@@ -43,8 +43,25 @@ BLOCK_WORDS = 500_000
 BATCH_BYTES = 8 << 20
 
 
-def item_words(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """(item, version, place, word, length): the words of each text, one row a place. version tells texts of one id apart."""
+def window_starts(words: list[bytes], size: int) -> list[list[int]]:
+    """For each place the starts of the windows that hold it. Of windows with equal words only the first counts.
+
+    An occurrence of any of these is one of the first, and is compared from there with the whole item: so an item
+    that repeats a word or a phrase has no more windows to look up than different ones.
+    """
+    width = min(size, len(words))
+    first: dict[tuple[bytes, ...], int] = {}
+    for start in range(len(words) - width + 1):
+        first.setdefault(tuple(words[start : start + width]), start)
+    held: list[list[int]] = [[] for _ in words]
+    for start in first.values():
+        for place in range(start, start + width):
+            held[place].append(start)
+    return held
+
+
+def item_words(items: DataFrame, item_id: str = "item_id", text: str = "text", size: int = SIZE) -> DataFrame:
+    """(item, version, place, word, length, starts): the words of each text, one row a place. version tells texts of one id apart."""
 
     def run(source):
         for batch in source:
@@ -60,12 +77,13 @@ def item_words(items: DataFrame, item_id: str = "item_id", text: str = "text") -
                             pa.array(np.arange(n, dtype=np.int32)),
                             pa.array(words, pa.binary()).cast(pa.string()),
                             pa.array([n] * n, pa.int32()),
+                            pa.array(window_starts(words, size), pa.list_(pa.int32())),
                         ],
-                        names=["item", "version", "place", "word", "length"],
+                        names=["item", "version", "place", "word", "length", "starts"],
                     )
 
     listed = items.select(F.col(item_id).cast("long").alias("item"), F.col(text).alias("text")).distinct()
-    return listed.mapInArrow(lean(run), "item long, version long, place int, word string, length int").distinct()
+    return listed.mapInArrow(lean(run), "item long, version long, place int, word string, length int, starts array<int>").distinct()
 
 
 def word_counts(docs: DataFrame, words: set[bytes]) -> DataFrame:
@@ -89,11 +107,10 @@ def word_counts(docs: DataFrame, words: set[bytes]) -> DataFrame:
     return docs.select("id", "text").mapInArrow(lean(run), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def probes(items: DataFrame, counts: DataFrame, size: int = SIZE, most: int = PROBES) -> DataFrame:
+def probes(items: DataFrame, counts: DataFrame, most: int = PROBES) -> DataFrame:
     """(item, version, place, word, length) of the places that are among the `most` rarest of some window."""
     rated = items.join(counts, "word", "left").fillna(0, ["n"])
-    starts = F.sequence(F.greatest(F.lit(0), F.col("place") - size + 1), F.greatest(F.lit(0), F.least("place", F.col("length") - size)))
-    each = rated.select("*", F.explode(starts).alias("start"))
+    each = rated.select("item", "version", "place", "word", "length", "n", F.explode("starts").alias("start"))
     rarest = Window.partitionBy("item", "version", "start").orderBy("n", "word", "place")
     chosen = each.withColumn("rank", F.row_number().over(rarest)).where(F.col("rank") <= most)
     return chosen.select("item", "version", "place", "word", "length").distinct()
@@ -145,22 +162,22 @@ def _hits(words: list[bytes], found: list[dict], size: int) -> tuple[int, list[i
     """Number of hit words; items with an occurring window; items with a proximity match alone."""
     hit = np.zeros(len(words) + 1, np.int32)
     exact, near = set(), set()
+    number: dict[bytes, int] = {}
+    of = lambda listed: np.array([number.setdefault(w, len(number)) for w in listed], np.int32)
+    text = of(words)
     for one in found:
-        item = one["words"].encode().split(b" ")
+        item = of(one["words"].encode().split(b" "))
         width = min(size, len(item))
         same_item = False
         for begin in set(one["exact"] or ()):
-            low, high = max(0, -begin), min(len(item), len(words) - begin)
-            run = 0
-            for i in range(low, high + 1):
-                if i < high and words[begin + i] == item[i]:
-                    run += 1
-                    continue
-                if run >= width:
-                    hit[begin + i - run] += 1
-                    hit[begin + i] -= 1
-                    same_item = True
-                run = 0
+            low, high = max(0, -begin), min(len(item), len(text) - begin)
+            unlike = np.flatnonzero(text[begin + low : begin + high] != item[low:high])
+            # Stretches between the places that differ.
+            starts, ends = np.append(-1, unlike) + 1, np.append(unlike, high - low)
+            for start, end in zip(starts[ends - starts >= width], ends[ends - starts >= width], strict=True):
+                hit[begin + low + start] += 1
+                hit[begin + low + end] -= 1
+                same_item = True
         (exact if same_item else near).add(one["item"])
     in_order = lambda ids: sorted(ids, key=lambda i: (i is None, i or 0))
     return int((np.cumsum(hit) > 0).sum()), in_order(exact), in_order(near - exact)
@@ -186,13 +203,14 @@ def judge(
 
 def _judge(docs, items, size, doc_id="doc_id", text="text", item_id="item_id", item_text="text", near=False, block_words=BLOCK_WORDS) -> DataFrame:
     """`judge` with the row's key, by which what is found comes back to it: never null, and one for each id and text."""
+    narrow(docs.sparkSession)
     texts = docs.select(_key(doc_id, text).alias("id"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id"))
-    words = settle(item_words(items, item_id, item_text), "item-words")
+    words = settle(item_words(items, item_id, item_text, size), "item-words")
     blocks = -(-words.count() // block_words)
     found = docs.sparkSession.createDataFrame([], "id long, item long, version long, exact array<int>")
     for block in range(blocks):
         part = words if blocks == 1 else words.where(F.pmod(F.xxhash64("item", "version"), F.lit(blocks)) == block)
-        found = found.unionByName(_look_up(texts, part, size, near)) if block else _look_up(texts, part, size, near)
+        found = found.unionByName(_look_up(texts, part, near)) if block else _look_up(texts, part, near)
     whole = words.groupBy("item", "version").agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("w"))
     whole = whole.select("item", "version", F.array_join("w.word", " ").alias("words"))
     same = found["version"].eqNullSafe(whole["version"]) & found["item"].eqNullSafe(whole["item"])
@@ -213,10 +231,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = SIZE, doc_id: s
     return docs.join(settle(gone, "contaminated"), docs[doc_id].eqNullSafe(F.col("gone")) & (own_key == F.col("gone_key")), "left_anti")
 
 
-def _look_up(texts: DataFrame, part: DataFrame, size: int, near: bool) -> DataFrame:
+def _look_up(texts: DataFrame, part: DataFrame, near: bool) -> DataFrame:
     vocabulary = lambda df: {r[0].encode() for r in df.select("word").distinct().toLocalIterator()}
     counts = settle(word_counts(texts, vocabulary(part)), "word-counts")
-    chosen = settle(probes(part, counts, size, NEAR_PROBES if near else PROBES), "probes")
+    chosen = settle(probes(part, counts, NEAR_PROBES if near else PROBES), "probes")
     index = settle(postings(texts, vocabulary(chosen)), "postings")
     return settle(alignments(index, chosen, near), "alignments")
 

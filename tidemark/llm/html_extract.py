@@ -6,7 +6,7 @@ bidirectional LSTM in numpy reads the whole sequence, so each block is judged wi
 others of the page in view; blocks labelled main text are joined in order.
 
 It is trained here, on a bounded sample of those pages themselves that mark their
-article (article or main). These give the labels; copies of them with the marks taken
+article (article or main), long ones in a bounded number of windows. These give the labels; copies of them with the marks taken
 away, other names in their place, and further parts (comments, side columns, forms,
 notices, made of texts from other pages) teach it not to lean on one layout.
 
@@ -14,7 +14,7 @@ Pages are independent: extraction is one pass without a shuffle, and the model (
 hundred kilobytes, fixed by parameters) travels with the tasks.
 
 Defined cases: null, empty and text-free pages give an empty text; a broken or
-cut-off page is read as far as it goes; repeated rows are extracted each; without a page to
+cut-off page is read as far as it goes; a page may have any number of blocks; repeated rows are extracted each; without a page to
 learn from, blocks under article or main are taken; extra columns do not matter.
 """
 
@@ -35,26 +35,68 @@ from tidemark.llm.html_blocks import PATH_SLOTS, Block, blocks, slot
 WORD_SLOTS = 256
 NUMBERS = 5
 WIDTH, HIDDEN = 24, 16
+SPARSE = PATH_SLOTS + WORD_SLOTS
 MAX_PAGES = 160
+# Pages are learned from in windows of so many blocks, and a page in so many of them.
+WINDOW, MAX_WINDOWS = 400, 4
+# Steps whose gates are computed at a time.
+STEPS = 1024
 # Pages are labelled together in groups of about so many blocks.
 GROUP_BLOCKS = 4096
-BATCH_BYTES = 4 << 20
-
-
-def vectors(page: list[Block]) -> np.ndarray:
-    """One row a block: path slots, word slots, numbers."""
-    out = np.zeros((len(page), PATH_SLOTS + WORD_SLOTS + NUMBERS), np.float32)
-    words = [b.text.lower().encode().split() for b in page]
-    counts = np.array([len(w) for w in words])
-    hashed = (hash_words([w for own in words for w in own]) % np.uint64(WORD_SLOTS)).astype(np.int64)
-    out[np.repeat(np.arange(len(page)), counts), PATH_SLOTS + hashed] = 1
-    held = out[:, PATH_SLOTS:-NUMBERS]
-    held /= np.sqrt(held.sum(1, keepdims=True))  # every block has a word
-    for i, b in enumerate(page):
-        out[i, b.slots] = 1
-        n = len(b.text)
-        out[i, -NUMBERS:] = (np.log1p(n) / 8, b.linked / n, b.text[-1] in ".!?", i / len(page), np.log1p(counts[i]) / 6)
-    return out
+BATCH_BYTES = 1 << 20
+
+
+class Sheet:
+    """A page's blocks as sparse vectors: for block i the entries starts[i] to starts[i + 1] of cols and values, and a row of numbers.
+
+    Path slots count 1, word slots share a length of 1.
+    """
+
+    def __init__(self, page: list[Block]):
+        n = len(page)
+        words = [b.text.lower().encode().split() for b in page]
+        counts = np.array([len(w) for w in words], np.int64)
+        hashed = (hash_words([w for own in words for w in own]) % np.uint64(WORD_SLOTS)).astype(np.int64)
+        path = np.array([s for b in page for s in b.slots], np.int64)
+        rows = np.concatenate([np.repeat(np.arange(n), [len(b.slots) for b in page]), np.repeat(np.arange(n), counts)])
+        entry = np.unique(rows * SPARSE + np.concatenate([path, PATH_SLOTS + hashed]))
+        row, self.cols = entry // SPARSE, entry % SPARSE
+        is_word = self.cols >= PATH_SLOTS
+        distinct = np.bincount(row[is_word], minlength=n)  # every block has a word
+        self.values = np.where(is_word, 1 / np.sqrt(distinct[row]), 1).astype(np.float32)
+        self.starts = np.searchsorted(row, np.arange(n + 1))
+        length = np.array([len(b.text) for b in page], float)
+        self.numbers = np.stack(
+            [
+                np.log1p(length) / 8,
+                np.array([b.linked for b in page]) / length,
+                np.array([b.text[-1] in ".!?" for b in page], float),
+                np.arange(n) / n,
+                np.log1p(counts) / 6,
+            ],
+            1,
+        ).astype(np.float32)
+
+    def __len__(self) -> int:
+        return len(self.numbers)
+
+    def dense(self, begin: int, end: int) -> np.ndarray:
+        """One row for each of these blocks: path slots, word slots, numbers."""
+        out = np.zeros((end - begin, SPARSE + NUMBERS), np.float32)
+        held = slice(self.starts[begin], self.starts[end])
+        out[np.repeat(np.arange(end - begin), np.diff(self.starts[begin : end + 1])), self.cols[held]] = self.values[held]
+        out[:, SPARSE:] = self.numbers[begin:end]
+        return out
+
+    def projected(self, e: np.ndarray) -> np.ndarray:
+        """The dense rows times `e`, without making them."""
+        out = self.numbers @ e[SPARSE:]
+        for begin in range(0, len(self), GROUP_BLOCKS):
+            end = min(begin + GROUP_BLOCKS, len(self))
+            held = slice(self.starts[begin], self.starts[end])
+            # Every block has an entry.
+            out[begin:end] += np.add.reduceat(e[self.cols[held]] * self.values[held, None], self.starts[begin:end] - self.starts[begin])
+        return out
 
 
 @dataclass
@@ -63,15 +105,15 @@ class Model:
 
     p: dict[str, np.ndarray]
 
-    def logits(self, pages: list[np.ndarray]) -> list[np.ndarray]:
+    def logits(self, pages: list[list[Block]]) -> list[np.ndarray]:
         if not pages:
             return []
         lengths = np.array([len(x) for x in pages])
         order = np.argsort(-lengths, kind="stable")
-        x = np.zeros((len(pages), lengths.max(), pages[0].shape[1]), np.float32)
+        y = np.zeros((len(pages), lengths.max(), WIDTH), np.float32)
         for row, i in enumerate(order):
-            x[row, : lengths[i]] = pages[i]
-        g, _ = forward(self.p, x, lengths[order])
+            y[row, : lengths[i]] = np.tanh(Sheet(pages[i]).projected(self.p["e"]))
+        g, _ = _read(self.p, y, lengths[order], keep=False)
         out: list = [None] * len(pages)
         for row, i in enumerate(order):
             out[i] = g[row, : lengths[i]]
@@ -89,27 +131,34 @@ def _reverse(x: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.take_along_axis(x, at[:, :, None], 1)
 
 
-def _lstm(x: np.ndarray, wx: np.ndarray, wh: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, list]:
-    gates = x @ wx + b
-    h = c = np.zeros((len(x), HIDDEN), np.float32)
-    hs, kept = [], []
+def _lstm(x: np.ndarray, wx: np.ndarray, wh: np.ndarray, b: np.ndarray, keep: bool = True) -> tuple[np.ndarray, list]:
+    """The states of every step, and what their gradients need if these are to be `kept`."""
+    h = c = np.zeros((len(x), HIDDEN), x.dtype)
+    hs, kept = np.empty((*x.shape[:2], HIDDEN), np.result_type(x, wx)), []
     for t in range(x.shape[1]):
-        z = gates[:, t] + h @ wh
+        if t % STEPS == 0:
+            gates = x[:, t : t + STEPS] @ wx + b
+        z = gates[:, t % STEPS] + h @ wh
         ifo = _sigmoid(z[:, : 3 * HIDDEN])
         i, f, o = np.split(ifo, 3, 1)
         g = np.tanh(z[:, 3 * HIDDEN :])
         before, c = c, f * c + i * g
-        kept.append((h, before, i, f, o, g, np.tanh(c)))
-        h = o * kept[-1][-1]
-        hs.append(h)
-    return np.stack(hs, 1), kept
+        tc = np.tanh(c)
+        if keep:
+            kept.append((h, before, i, f, o, g, tc))
+        h = o * tc
+        hs[:, t] = h
+    return hs, kept
 
 
 def forward(p: dict, x: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, tuple]:
-    y = np.tanh(x @ p["e"])
-    ahead, kept_a = _lstm(y, p["wx0"], p["wh0"], p["b0"])
+    return _read(p, np.tanh(x @ p["e"]), lengths)
+
+
+def _read(p: dict, y: np.ndarray, lengths: np.ndarray, keep: bool = True) -> tuple[np.ndarray, tuple]:
+    ahead, kept_a = _lstm(y, p["wx0"], p["wh0"], p["b0"], keep)
     turned = _reverse(y, lengths)
-    back, kept_b = _lstm(turned, p["wx1"], p["wh1"], p["b1"])
+    back, kept_b = _lstm(turned, p["wx1"], p["wh1"], p["b1"], keep)
     h = np.concatenate([ahead, _reverse(back, lengths)], 2)
     return h @ p["v"] + y @ p["u"] + p["c"], (y, turned, h, kept_a, kept_b)
 
@@ -147,27 +196,28 @@ def gradients(p: dict, x: np.ndarray, lengths: np.ndarray, truth: np.ndarray) ->
 def fresh(seed: int = 3) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     draw = lambda *shape: (rng.standard_normal(shape) * 0.2).astype(np.float32)
-    p = {"e": draw(PATH_SLOTS + WORD_SLOTS + NUMBERS, WIDTH), "v": draw(2 * HIDDEN), "u": draw(WIDTH), "c": np.zeros(1, np.float32)}
+    p = {"e": draw(SPARSE + NUMBERS, WIDTH), "v": draw(2 * HIDDEN), "u": draw(WIDTH), "c": np.zeros(1, np.float32)}
     for way in "01":
         p |= {f"wx{way}": draw(WIDTH, 4 * HIDDEN), f"wh{way}": draw(HIDDEN, 4 * HIDDEN), f"b{way}": np.zeros(4 * HIDDEN, np.float32)}
         p[f"b{way}"][HIDDEN : 2 * HIDDEN] = 1
     return p
 
 
-def train(pages: list[tuple[np.ndarray, np.ndarray]], epochs: int = 20, seed: int = 3, rate: float = 0.01) -> Model:
-    """Adam on the cross-entropy of the block labels; names on the path are dropped at random."""
+def train(pages: list[tuple[Sheet, int, int, np.ndarray]], epochs: int = 20, seed: int = 3, rate: float = 0.01) -> Model:
+    """Adam on the cross-entropy of the labels of blocks begin to end of each sheet; names on the path are dropped at random."""
     p, rng, step = fresh(seed), np.random.default_rng(seed), 0
     m, s = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
     steps = epochs * -(-len(pages) // 32)
     for _ in range(epochs):
         # Batches of pages of like length, in any order.
-        by_length = sorted(rng.permutation(len(pages)), key=lambda i: len(pages[i][1]))
+        by_length = sorted(rng.permutation(len(pages)), key=lambda i: len(pages[i][3]))
         for part in rng.permutation(range(0, len(pages), 32)):
             own = [pages[i] for i in by_length[part : part + 32]]
-            lengths = np.array([len(x) for x, _ in own])
-            x = np.zeros((len(own), lengths.max(), own[0][0].shape[1]), np.float32)
+            lengths = np.array([len(labels) for *_, labels in own])
+            x = np.zeros((len(own), lengths.max(), SPARSE + NUMBERS), np.float32)
             truth = np.zeros(x.shape[:2], np.float32)
-            for i, (vector, labels) in enumerate(own):
+            for i, (sheet, begin, end, labels) in enumerate(own):
+                vector = sheet.dense(begin, end)
                 gone = rng.random(vector.shape[1]) < 0.15
                 gone[-NUMBERS:] = False
                 x[i, : len(labels)] = np.where(gone, 0, vector)
@@ -183,6 +233,7 @@ def train(pages: list[tuple[np.ndarray, np.ndarray]], epochs: int = 20, seed: in
 _OPEN = re.compile(r"<(article|main)\b([^>]*)>", re.I)
 _OPEN_SQL = r"(?i)<(article|main)\b[^>]*>"
 _SHUT = re.compile(r"</(article|main)\s*>", re.I)
+_TRUTH = re.compile("data-truth", re.I)
 # Names that pages give their parts: main text, then other parts.
 MAIN_NAMES = ["content", "post", "entry", "article-body", "story", "main-content", "post-content", "text", "page-content"]
 SIDE_NAMES = {
@@ -219,6 +270,7 @@ def variants(html: str, texts: list[str], rng: np.random.Generator, count: int =
     """The page with its article marked as truth: as it is, and in other layouts. [] if it marks no article."""
     if not _OPEN.search(html):
         return []
+    html = _TRUTH.sub("data-own", html)  # the mark is ours alone
     out = [_OPEN.sub(r'<\1\2 data-truth="1">', html)]
     for _ in range(count):
         name = MAIN_NAMES[rng.integers(len(MAIN_NAMES))]
@@ -242,10 +294,18 @@ def fit(pages: DataFrame, page_id: str = "page_id", html: str = "html", most: in
     rng = np.random.default_rng(seed)
     texts = [b.text for r in sample for b in blocks(r["html"]) if len(b.text) > 20] or ["text"]
     marked = [blocks(v) for r in sample for v in variants(r["html"], texts, rng)]
-    learnt = [(vectors(p), np.array([b.truth for b in p], np.float32)) for p in marked if p and len(p) < 400]
+    learnt = [window for page in marked if page for window in windows(page, rng)]
     return train(learnt, seed=seed) if learnt else None
 
 
+def windows(page: list[Block], rng: np.random.Generator) -> list[tuple[Sheet, int, int, np.ndarray]]:
+    """The page to learn from; of one of more than `WINDOW` blocks as many windows of so many, at most `MAX_WINDOWS`, drawn by chance."""
+    sheet, truth = Sheet(page), np.array([b.truth for b in page], np.float32)
+    begins = np.arange(0, len(page), WINDOW)
+    chosen = begins if len(begins) <= MAX_WINDOWS else np.sort(rng.choice(begins, MAX_WINDOWS, replace=False))
+    return [(sheet, int(a), min(int(a) + WINDOW, len(page)), truth[a : a + WINDOW]) for a in chosen]
+
+
 _MARKED = {slot("article"), slot("main")}
 
 
@@ -259,7 +319,7 @@ def extract(pages: DataFrame, model: Model | None, html: str = "html") -> DataFr
         if known is None:
             return [" ".join(b.text for b in page if _MARKED & set(b.slots)) for page in group]
         filled = [page for page in group if page]
-        marks = iter(known.logits([vectors(page) for page in filled]))
+        marks = iter(known.logits(filled))
         return [" ".join(b.text for b, g in zip(page, next(marks), strict=True) if g > 0) if page else "" for page in group]
 
     def run(source):

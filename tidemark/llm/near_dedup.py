@@ -36,7 +36,7 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD_BYTES, batches, lean, settle, table
+from tidemark.llm.common import WORD_BYTES, batches, lean, narrow, settle, table
 from tidemark.llm.components import components
 from tidemark.llm.hashing import hash_spans, mix, seeded, shingle_hashes, unit, word_spans
 
@@ -274,6 +274,7 @@ def near_duplicates(
     class_id is the smallest document with the same shingles, component_id the smallest
     one reachable by links; kept is true for that one alone.
     """
+    narrow(docs.sparkSession)
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     signed = settle(sign(texts, size, bands, rows, counted), "signatures")
     nameless = signed.where("id IS NULL")

@@ -6,7 +6,9 @@ runs of such characters in the same texts are ordinary identifiers. A run of at
 least `MIN_LENGTH` characters is a secret of kind `random` if the log-likelihood
 ratio of the two models, with the prior odds of a secret, says so and each of its
 characters says so on average. As found secrets show few forms (hex, say), a string may
-instead be random as even draws from the whole alphabet; the better of both counts.
+instead be random as even draws from the whole alphabet; the better of both counts. A run whose own
+repetitions explain it better than even draws do (a row of x, say) is none, nor is one without a letter: rulers, numbers,
+dates. Nothing else decides: no count of different characters or of digits.
 The tables start from smoothing counts, so without any sample nothing is a secret.
 
 Counts are summed in the tasks: a task gives one row for each model. Training reads a
@@ -20,8 +22,11 @@ repeated rows are scanned each; offsets count code points, ends are exclusive.
 
 from __future__ import annotations
 
+import itertools
+import math
 import re
 from bisect import bisect_left
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,8 +45,6 @@ KINDS = ("assign", "access", "hex", "random")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 MIN_LENGTH = 16
-# Numbers, dates, rulers and paths are no keys: one has letters, digits and so many different characters.
-MIN_DISTINCT = 10
 MAX_TEXTS = 20_000
 # One run in so many is a secret; each character must speak for it by this much on average.
 PRIOR_ODDS, PER_CHARACTER = 1e-4, 0.5
@@ -69,6 +72,18 @@ def codes(run: str) -> np.ndarray:
     return np.concatenate([[_N], _CODE[np.frombuffer(run.encode(), np.uint8)]])
 
 
+def repetition(run: str) -> float:
+    """Log of how much likelier the run is under a model that learns its transitions as it reads them than as even draws."""
+    after: Counter = Counter()
+    pairs: Counter = Counter()
+    total = 0.0
+    for a, b in itertools.pairwise(run):
+        total += math.log((pairs[a, b] * _N + 1) / (after[a] + 1))
+        pairs[a, b] += 1
+        after[a] += 1
+    return total
+
+
 @dataclass(frozen=True)
 class Model:
     """ratio[way, a, b]: log of how much likelier b follows a in random strings than in ordinary ones."""
@@ -80,10 +95,10 @@ class Model:
         return float(self.ratio[:, c[:-1], c[1:]].sum(1).max())
 
     def is_secret(self, run: str) -> bool:
-        if len(set(run)) < MIN_DISTINCT or not any(map(str.isalpha, run)) or not any(map(str.isdigit, run)):
+        if not any(map(str.isalpha, run)):
             return False
         value = self.score(run)
-        return value + np.log(PRIOR_ODDS) > 0 and value > PER_CHARACTER * len(run)
+        return value + np.log(PRIOR_ODDS) > 0 and value > PER_CHARACTER * len(run) and repetition(run) + np.log(PRIOR_ODDS) <= 0
 
 
 def from_counts(random: np.ndarray, ordinary: np.ndarray) -> Model:

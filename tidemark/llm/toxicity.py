@@ -33,7 +33,7 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches, bounded_sample, in_train, lean, settle, table, word_bytes
+from tidemark.llm.common import batches, bounded_sample, in_train, lean, narrow, settle, table, word_bytes
 from tidemark.llm.hashing import hash_words
 
 SLOTS = 1 << 18
@@ -105,6 +105,7 @@ def fit(
     max_unlabelled: int = MAX_UNLABELLED,
     seed: int = 7,
 ) -> Model:
+    narrow(docs.sparkSession)
     known = labels.where(in_train("doc_id")).agg(F.avg(F.col("toxic").cast("double"))).first()[0]
     prior = min(max(known or 0.0, 1e-3), 0.5)
     rows = settle(kinds(docs, labels, doc_id, text), "toxic-kinds")
