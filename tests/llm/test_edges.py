@@ -22,7 +22,7 @@ def test_line_dedup_is_linear_in_a_texts_lines(spark):
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     began = time.monotonic()
     rows = {r["doc_id"]: (r["n_lines"], r["n_dropped"]) for r in line_dedup.dedup_lines(frame).select("doc_id", "n_lines", "n_dropped").collect()}
-    assert time.monotonic() - began < 20
+    assert time.monotonic() - began < 60  # a quadratic one takes an hour
     assert rows == {0: (200_000, 200_000), 1: (200_000, 200_000), 2: (200_000, 1), 5: (200_001, 0)}
 
 
@@ -320,7 +320,7 @@ def test_decontamination_of_texts_that_repeat_a_word(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     began = time.monotonic()
     got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in decontaminate.judge(docs, bench).collect()}
-    assert time.monotonic() - began < 20
+    assert time.monotonic() - began < 60
     from test_text_operators import plain_hits
 
     assert got == {i: plain_hits(t, items) for i, t in enumerate(texts)}
