@@ -17,13 +17,13 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 from tidemark import medallion  # noqa: E402
-from tidemark.functions import within  # noqa: E402
+from tidemark.functions import rescued_document, typed_document, with_document, within  # noqa: E402
 from tidemark.operators import (  # noqa: E402
     drop_rate,
     keep,
     latest_per_key,
     observed_report,
-    price_before,
+    value_before,
 )
 from tidemark.plans import bronze, gold, monitors, reports, silver  # noqa: E402
 from tidemark.schemas import CIRCULATING_SUPPLY, PAYLOAD_FIELDS, PayloadField  # noqa: E402
@@ -43,7 +43,10 @@ from tidemark.sources import (  # noqa: E402
 )
 from tidemark.sources import event_feed as feed  # noqa: E402
 from tidemark.sources.landing import capture_time  # noqa: E402
+from tidemark.sources.tables import stream_table  # noqa: E402
 from tidemark.streaming import bronze_stream, finish, silver_stream  # noqa: E402
+from tidemark.streaming.alarms import ALARM, alarm_stream  # noqa: E402
+from tidemark.streaming.runs import BRONZE_STORED  # noqa: E402
 
 # The text operators can be taken out with their folders; everything else works without them.
 try:
@@ -59,6 +62,8 @@ A_DAY_ON = "2024-02-01 00:00:00"
 DAY_AGO = "2024-01-30 00:00:00"
 WEEK_AGO = "2024-01-24 00:00:00"
 HALFWAY = "2024-01-16 00:00:00"
+# Cuts both its own day and that of a week ago.
+MIDDAY = "2024-01-29 12:00:00"
 
 # The event's number decides between copies, so results repeat exactly.
 EVENT_ID = PayloadField("event_id", "event_id", T.LongType())
@@ -186,6 +191,14 @@ def silver_typed(spark, sf):
     return _plain(silver.typed(feed.bronze(spark, sf), FIELDS))
 
 
+def silver_from_variant(spark, sf):
+    # Parsed once, stored as VARIANT beside the text; known fields and the rest come from the stored value.
+    stored = settle(with_document(feed.bronze(spark, sf)), "documents")
+    known = [f.key for f in PAYLOAD_FIELDS]
+    rows = rescued_document(stored, known)
+    return _plain(typed_document(rows, FIELDS, [F.col("snapshot_id").alias("observed_at"), "_rescued_data"]))
+
+
 def silver_extra_field(spark, sf):
     raw = feed.bronze(spark, sf)
     supplied = raw.withColumn("payload", F.regexp_replace("payload", r"^\{", '{"circulating_supply":21000000,'))
@@ -299,7 +312,7 @@ def corr_7d(spark, sf):
 
 def pct_change_hist(spark, sf):
     prices = settle(_silver(spark, sf).select("symbol", "observed_at", "price_usd"), "prices")
-    rows = price_before(prices, "price_24h_ago")
+    rows = value_before(prices, "price_24h_ago")
     now, then = F.col("price_usd").cast("double"), F.col("price_24h_ago").cast("double")
     change = (now - then) / F.nullif(then, F.lit(0.0)) * 100
     return _rounded(_plain(rows.withColumn("pct_change", change)), "pct_change")
@@ -371,7 +384,7 @@ def backfill_any_order(spark, sf):
     return medallion.silver_table(spark, layout).select("symbol", "observed_at")
 
 
-def compacted_silver(spark, sf):
+def _packed_waves(spark, sf):
     # Captures come in three waves that are not in time order; closed days are packed after each.
     rows = feed.rows(spark, sf, slot_minutes=None)
     wave = F.pmod(F.xxhash64(F.to_date("snapshot_id")), F.lit(3))
@@ -380,9 +393,21 @@ def compacted_silver(spark, sf):
         write_landing(rows.where(wave == number), landing, "snapshot_id")
         _, typed, _ = medallion.take_in(spark, landing, layout, "landed", state_partitions=_cores(spark))
         medallion.pack(spark, layout, typed)
+        yield layout
+
+
+def compacted_silver(spark, sf):
+    *_, layout = _packed_waves(spark, sf)
     return _plain(medallion.silver_table(spark, layout).drop("dt"))
 
 
+def volatility_incremental(spark, sf):
+    # Refreshed after each wave: from the states of packed days, and rows of the others alone.
+    for layout in _packed_waves(spark, sf):
+        medallion.refresh_views(spark, layout, MIDDAY)
+    return _rounded(medallion.volatility_view(spark, layout), "realized_volatility_7d")
+
+
 def _with_stamps_ahead(spark, sf, stream):
     # Every tenth event is stamped twenty years on, long after its file.
     rows = feed.rows(spark, sf)
@@ -466,6 +491,19 @@ def capture_gaps(spark, sf):
     return monitors.capture_gaps(feed.bronze(spark, sf, slot_minutes=15), A_DAY_ON, days=30)
 
 
+def gap_alarms(spark, sf):
+    # The stream's rows come in three waves in time order; slots are closed as the watermark passes them.
+    raw = bronze.verdict(feed.bronze(spark, sf, slot_minutes=15))
+    path, out, checkpoint = (fresh_path(spark, n) for n in ("bronze", "alarms", "checkpoint"))
+    at = F.col("snapshot_id")
+    third, half = (F.lit(t).cast("timestamp") for t in ("2024-01-11 00:00:00", HALFWAY))
+    for wave in (at < third, (at >= third) & (at < half), at >= half):
+        raw.where(wave).write.mode("append").partitionBy("verdict").parquet(path)
+        rows = bronze.kept(stream_table(spark, path, BRONZE_STORED)).select("source", "snapshot_id")
+        alarm_stream(rows, out, checkpoint, state_partitions=_cores(spark)).awaitTermination()
+    return spark.read.schema(ALARM).parquet(out).select("source", "slot")
+
+
 def capture_growth(spark, sf):
     return monitors.capture_growth(feed.bronze(spark, sf, slot_minutes=15), A_DAY_ON, days=30)
 
@@ -482,6 +520,7 @@ _QUERIES = {
     "quarantine": quarantine,
     "silver_typed": silver_typed,
     "silver_extra_field": silver_extra_field,
+    "silver_from_variant": silver_from_variant,
     "silver_dedup": silver_dedup,
     "silver_dedup_heavy": silver_dedup_heavy,
     "silver_stream": silver_stream_dedup,
@@ -495,6 +534,7 @@ _QUERIES = {
     "momentum_presented": momentum_presented,
     "daily_range": daily_range,
     "volatility_7d": volatility_7d,
+    "volatility_incremental": volatility_incremental,
     "volatility_close": volatility_close,
     "corr_7d": corr_7d,
     "pct_change_hist": pct_change_hist,
@@ -516,6 +556,7 @@ _QUERIES = {
     "layer_stats": layer_stats,
     "freshness_coverage": freshness_coverage,
     "capture_gaps": capture_gaps,
+    "gap_alarms": gap_alarms,
     "capture_growth": capture_growth,
 }
 
@@ -684,6 +725,9 @@ def oracle_sql() -> dict[str, str]:
             WHERE payload IS NULL OR length(payload) <= 10 OR NOT json_valid(payload)
                OR json_extract_string(payload, '$.symbol') IS NULL""",
         "silver_typed": f"WITH feed AS ({_feed_sql()}), typed AS ({_TYPED}) SELECT * FROM typed",
+        "silver_from_variant": f"""
+            WITH feed AS ({_feed_sql()}), typed AS ({_TYPED})
+            SELECT *, '{{"event_id":"' || event_id || '"}}' AS _rescued_data FROM typed""",
         "silver_extra_field": f"""
             WITH feed AS ({_feed_sql()}), typed AS ({_TYPED})
             SELECT event_id, symbol, price_usd, CAST(21000000 AS DOUBLE) AS circulating_supply FROM typed""",
@@ -736,6 +780,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "daily_range": _with_silver("SELECT symbol, day, round(daily_return, 6) AS daily_return FROM daily"),
         "volatility_7d": _with_silver("SELECT * FROM volatility"),
+        "volatility_incremental": _with_silver("SELECT * FROM volatility", at="ts").replace(AS_OF, MIDDAY),
         "volatility_close": _with_silver(
             f"""SELECT symbol, round(stddev_samp(r) * sqrt(365), 6) AS realized_volatility_7d,
                        count(*) AS n_observations, max(day) AS last_observed_at
@@ -808,6 +853,15 @@ def oracle_sql() -> dict[str, str]:
                SELECT slot FROM expected ANTI JOIN captured USING (slot)""",
             at=quarter,
         ),
+        # Slots whose end the watermark has passed: an hour behind the newest capture.
+        "gap_alarms": feed_only(
+            """, captured AS (SELECT DISTINCT snapshot_id AS slot FROM feed),
+               span AS (SELECT min(slot) AS first, max(slot) AS newest FROM captured),
+               expected AS (SELECT unnest(generate_series(first, newest, INTERVAL 15 MINUTE)) AS slot FROM span)
+               SELECT 'events' AS source, e.slot FROM expected e ANTI JOIN captured c ON e.slot = c.slot, span
+               WHERE e.slot + INTERVAL 15 MINUTE <= newest - INTERVAL 1 HOUR""",
+            at=quarter,
+        ),
         "capture_growth": feed_only(
             f""", captured AS (SELECT snapshot_id AS slot, count(*) AS n FROM feed GROUP BY slot), expected AS ({expected_slots})
                SELECT CAST(e.slot AS DATE) AS day, count(n) AS captures, CAST(coalesce(sum(n), 0) AS BIGINT) AS row_count,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from test_sources_and_streams import capture, land, typed_keys
 
 from tidemark import medallion
+from tidemark.plans import gold
 from tidemark.sources import packed_days, read_table
 from tidemark.sources.packed_days import days_to_read, known_keys, pack_closed_days, packed, tidy, typed_rows
 
@@ -166,3 +167,40 @@ def test_tidy_deletes_only_what_no_kept_reader_needs(spark, place):
     assert update.audit.repaired == 0 and len(typed_keys(spark, layout)) == len(keys) + 3
     assert medallion.momentum_view(spark, layout).count() == 3
     assert read_table(spark, layout.table("bronze")).count() > 0
+
+
+def test_states_of_packed_days_serve_views_that_cut_days(spark, place):
+    landing, layout, typed = place
+    paths = medallion.day_paths(layout)
+    medallion.pack(spark, layout, typed)
+    # Late rows of a packed day, with a new lowest and a new closing price, are not packed yet.
+    land(landing, "late.jsonl", capture("2024-01-28T05:00:00Z", "a", price=0.25) + capture("2024-01-28T23:00:00Z", "b", price=7.0), "2024-01-28", "05")
+    medallion.take_in(spark, landing, layout, "s", state_partitions=4)
+    every = medallion.silver_table(spark, layout).where("observed_at IS NOT NULL")
+    for start, end in (("2024-01-28 00:00:00", "2024-01-31 00:00:00"), ("2024-01-28 08:00:00", "2024-01-30 10:00:00"), ("2024-01-29 00:00:00", "2024-01-29 09:00:00")):
+        moments = [dt.datetime.fromisoformat(t) for t in (start, end)]
+        got = packed_days.states_within(spark, paths, *moments)
+        want = gold.day_states(every.where(F.col("observed_at").between(*[F.lit(t).cast("timestamp") for t in (start, end)])))
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    # Whole packed days are not read again.
+    whole = packed_days.states_within(spark, paths, *(dt.datetime(2024, 1, d) for d in (28, 30)))
+    assert packed_files(whole) == [] and any("/silver_states/" in f for f in whole.inputFiles())
+    cut = packed_days.states_within(spark, paths, dt.datetime(2024, 1, 28, 8), dt.datetime(2024, 1, 30))
+    assert len(packed_files(cut)) == 1 and "dt=2024-01-28" in packed_files(cut)[0]
+
+
+def test_totals_of_a_run_need_no_kept_reports(spark, tmp_path):
+    landing, layout = str(tmp_path / "in"), medallion.Layout(str(tmp_path / "tables"))
+    for i in range(5):
+        land(landing, f"{i}.jsonl", capture(f"2024-01-30T1{i}:00:00Z", "a", "b"), hour=f"1{i}")
+    name = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2")
+    try:
+        taken, typed, _ = medallion.take_in(spark, landing, layout, "s", max_files=1, state_partitions=4)
+    finally:
+        spark.conf.set(name, before)
+    assert taken.complete and taken.rows_in == 10 and taken.metrics["bronze"]["rows_in"] == 10
+    assert typed.complete and typed.rows_in == 10 and typed.watermark is not None
+    again, typed, _ = medallion.take_in(spark, landing, layout, "s", state_partitions=4)
+    assert again.rows_in == 0 and typed.rows_in == 0

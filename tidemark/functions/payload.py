@@ -42,6 +42,34 @@ def parse(
     return parsed.select(*typed, *keep)
 
 
+def with_document(df: DataFrame, payload: str = "payload", name: str = "document") -> DataFrame:
+    """Add the payload as a VARIANT: parsed once, where it is stored, and never again. Broken text gives NULL."""
+    return df.select("*", F.inline(F.array(F.struct(F.try_parse_json(payload).alias(name)))))
+
+
+def typed_document(
+    df: DataFrame,
+    fields: Sequence[PayloadField] = PAYLOAD_FIELDS,
+    keep: Iterable[str | Column] = (),
+    name: str = "document",
+) -> DataFrame:
+    """The columns of `parse`, read from the stored VARIANT. A new field needs no new reading of the text."""
+    typed = []
+    for f in fields:
+        value = F.try_variant_get(name, f"$['{f.key}']", f.type.simpleString())
+        typed.append((F.upper(value) if f.upper else value).alias(f.column))
+    return df.select(*typed, *keep)
+
+
+def rescued_document(df: DataFrame, known: Iterable[str], name: str = "document", column: str = "_rescued_data") -> DataFrame:
+    """Add the fields outside `known` as `with_rescued` does, from the stored VARIANT."""
+    expected = F.array(*[F.lit(k) for k in known])
+    fields = F.try_variant_get(name, "$", "map<string,string>")
+    extra = F.map_filter(fields, lambda key, _: ~F.array_contains(expected, key))
+    opened = df.select("*", F.inline(F.array(F.struct(extra.alias("_extra")))))
+    return opened.withColumn(column, F.when(F.cardinality("_extra") > 0, F.to_json("_extra"))).drop("_extra")
+
+
 def not_an_object(payload: Column) -> Column:
     """True where the text is not a JSON object (broken, a list, a bare value, NULL)."""
     return F.json_object_keys(payload).isNull()

@@ -12,7 +12,7 @@ from .plans import bronze, gold, monitors
 from .schemas import MOMENTUM, SILVER, VOLATILITY
 from .session import fresh_path, pin_utc
 from .sources.landing import stream_landing
-from .sources.packed_days import DayPaths, pack_closed_days, tidy, typed_rows
+from .sources.packed_days import DayPaths, pack_closed_days, states_within, tidy, typed_rows
 from .sources.tables import (
     DAY,
     delete_folder,
@@ -124,14 +124,16 @@ def _moment(as_of: str | dt.datetime) -> dt.datetime:
 def refresh_views(
     spark: SparkSession, layout: Layout, as_of: str | dt.datetime, keep_versions: int = 96
 ) -> None:
-    """Recompute the views from the typed table's last days. A day of quarter-hour versions is kept."""
-    silver = silver_table(spark, layout, _moment(as_of).date() - dt.timedelta(days=gold.DAYS_READ))
+    """Recompute the views: momentum from the last days' rows, volatility from day states. A day of quarter-hour versions is kept."""
+    moment = _moment(as_of)
+    silver = silver_table(spark, layout, moment.date() - dt.timedelta(days=gold.DAYS_READ))
     staging = fresh_path(spark, "momentum")
     try:
         refresh(gold.momentum(silver, as_of, staging=staging), layout.table("momentum"))
     finally:
         delete_folder(spark, staging)
-    refresh(gold.volatility(silver, as_of), layout.table("volatility"))
+    states = states_within(spark, day_paths(layout), moment - dt.timedelta(days=7), moment)
+    refresh(gold.volatility_of_states(states), layout.table("volatility"))
     for view in ("momentum", "volatility"):
         drop_old_versions(spark, layout.table(view), keep_versions)
 

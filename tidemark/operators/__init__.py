@@ -1,5 +1,6 @@
 """Reusable DataFrame operators."""
 
+from .asof import value_before
 from .dedup import dedup_batch, dedup_stream
 from .expectations import (
     Expectation,
@@ -29,4 +30,5 @@ __all__ = [
     "price_before",
     "rank_descending",
     "report",
+    "value_before",
 ]

@@ -14,8 +14,8 @@ from ..schemas import MOMENTUM, VOLATILITY, conform
 
 AsOf = str | dt.datetime
 
-# Views look back so many days; a day more is read than the longest span has.
-DAYS_READ = 8
+# Rows of so many days hold the last 24 hours.
+DAYS_READ = 1
 
 # Settles the newest row should a table ever hold a (symbol, time) twice.
 TIES = ("name", "price_usd", "volume_24h_usd", "market_cap_usd", "pct_change_24h")
@@ -59,6 +59,36 @@ def daily_range(silver: DataFrame, as_of: AsOf) -> DataFrame:
     )
 
 
+def day_states(rows: DataFrame) -> DataFrame:
+    """(symbol, dt, low, high, close, close_at, row_count) of rows with their day: what the views need of a day, and can be merged."""
+    price, at = F.col("price_usd"), F.col("observed_at")
+    return rows.groupBy("symbol", "dt").agg(
+        F.min(price).alias("low"),
+        F.max(price).alias("high"),
+        F.max_by(price, at).alias("close"),
+        F.max(at).alias("close_at"),
+        F.count(F.lit(1)).alias("row_count"),
+    )
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """One state per symbol and day of states of parts of a day."""
+    return states.groupBy("symbol", "dt").agg(
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.max_by("close", "close_at").alias("close"),
+        F.max("close_at").alias("close_at"),
+        F.sum("row_count").alias("row_count"),
+    )
+
+
+def volatility_of_states(states: DataFrame, min_days: int = 3) -> DataFrame:
+    """`volatility` of the merged states of its days."""
+    spread = (F.col("high") - F.col("low")).cast("double") / F.nullif(F.col("low").cast("double"), F.lit(0.0))
+    daily = states.select("symbol", F.col("dt").alias("day"), spread.alias("daily_return"))
+    return conform(_annualised(daily, min_days), VOLATILITY)
+
+
 def _annualised(daily: DataFrame, min_days: int) -> DataFrame:
     yearly = F.stddev_samp("daily_return") * F.sqrt(F.lit(365))
     return (

@@ -8,7 +8,8 @@ version counts at once or not at all, folders are never written again, so a read
 planned with. Late rows of a packed day stay beside it until the next packing writes that day again.
 
 Beside each packed day lies a digest of its keys: bitmaps with a bit set for each key's hash, about `BITS_A_KEY` bits a key. A
-key whose bit is not set is not in the day; so a repair reads the days that may hold one of its keys, and no others.
+key whose bit is not set is not in the day; so a repair reads the days that may hold one of its keys, and no others. And
+beside each lie the states that views need of it, one row a symbol, so a refresh reads rows of changed days only.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedup import KEYS
-from ..schemas import SILVER
+from ..plans import gold
+from ..schemas import PRICE, SILVER
 from .tables import BATCH, DAY, _files, current_version, delete_folder, drop_old_versions, exists, read_current, read_table, refresh, stored
 
 LAYOUT = ("dt", *KEYS)
@@ -37,6 +39,18 @@ FOLDER = T.StructField("n", T.LongType())
 MANIFEST = T.StructType(
     [DAY, T.StructField("folder", T.LongType()), T.StructField("through", T.DateType()), T.StructField("late_batch", T.LongType())]
 )
+STATES = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("low", PRICE),
+        T.StructField("high", PRICE),
+        T.StructField("close", PRICE),
+        T.StructField("close_at", T.TimestampType()),
+        T.StructField("row_count", T.LongType()),
+        FOLDER,
+        DAY,
+    ]
+)
 DIGEST = T.StructType(
     [T.StructField("buckets", T.LongType()), T.StructField("bucket", T.LongType()), T.StructField("bitmap", T.BinaryType()), FOLDER, DAY]
 )
@@ -50,11 +64,12 @@ class DayPaths:
     late: str
     packed: str
     digest: str
+    states: str
     manifest: str
 
     @classmethod
     def of(cls, table: str) -> DayPaths:
-        return cls(table, f"{table}_late", f"{table}_packed", f"{table}_digest", f"{table}_days")
+        return cls(table, f"{table}_late", f"{table}_packed", f"{table}_digest", f"{table}_states", f"{table}_days")
 
 
 @dataclass(frozen=True)
@@ -90,16 +105,18 @@ def typed_rows(
     since: dt.date | None = None,
     days: Collection[dt.date] | None = None,
     late_rows: Column | None = None,
+    packed_days: Collection[dt.date] | None = None,
 ) -> DataFrame:
     """Each typed row once: packed days from their folders, the others and late rows from where they came.
 
     With `since` or `days` only those days' folders are listed and read. `late_rows`: a condition on the batch of late rows.
+    `packed_days`: of packed days only these are read.
     """
     state = packed(spark, paths)
     wanted = [
         (day, number)
         for day, number in sorted(state.folders.items())
-        if (since is None or day >= since) and (days is None or day in days)
+        if (since is None or day >= since) and (days is None or day in days) and (packed_days is None or day in packed_days)
     ]
     rows = read_table(spark, paths.live, TYPED) if exists(spark, paths.live) else spark.createDataFrame([], TYPED)
     if state.through is not None:
@@ -185,6 +202,8 @@ def pack_closed_days(
     ranges.write.partitionBy("dt").parquet(folder)
     written = sorted(_days(spark, folder))
     _write_digest(spark, paths, number, folder)
+    states = gold.day_states(read_table(spark, folder, TYPED))
+    states.repartitionByRange("dt", "symbol").write.partitionBy("dt").parquet(f"{paths.states}/n={number:012d}")
     _store(spark, paths, Packed({**state.folders, **dict.fromkeys(written, number)}, through, late_batch))
     return written
 
@@ -236,6 +255,24 @@ def known_keys(spark: SparkSession, paths: DayPaths, rows: DataFrame, batch: int
     return whole.unionByName(late.select(*KEYS))
 
 
+def states_within(spark: SparkSession, paths: DayPaths, start: dt.datetime, end: dt.datetime) -> DataFrame:
+    """One state per symbol and day of the rows with `start` <= time <= `end` (UTC).
+
+    Whole packed days come from their stored states, a row a symbol; rows are read of the days that `start` and `end`
+    cut, of days that are not packed yet, and of late rows beside packed ones.
+    """
+    state = packed(spark, paths)
+    midnight = lambda day: dt.datetime(day.year, day.month, day.day, tzinfo=dt.timezone.utc)
+    start, end = (t.replace(tzinfo=dt.timezone.utc) if t.tzinfo is None else t.astimezone(dt.timezone.utc) for t in (start, end))
+    whole = {d: n for d, n in state.folders.items() if midnight(d) >= start and midnight(d + dt.timedelta(days=1)) <= end}
+    cut = [d for d in state.folders if start.date() <= d <= end.date() and d not in whole]
+    rows = typed_rows(spark, paths, since=start.date(), packed_days=cut)
+    at = F.col("observed_at")
+    fresh = gold.day_states(rows.where((at >= F.lit(start)) & (at <= F.lit(end)) & (F.col("dt") <= F.lit(end.date()))))
+    stored_states = _days_of(spark, paths.states, STATES, sorted(whole.items())).select(*fresh.columns)
+    return gold.merged_states(stored_states.unionByName(fresh))
+
+
 def tidy(spark: SparkSession, paths: DayPaths, keep: int = 96) -> None:
     """Delete what no reader of the newest `keep` manifests needs: replaced folders, and the files packed days were made of.
 
@@ -249,7 +286,7 @@ def tidy(spark: SparkSession, paths: DayPaths, keep: int = 96) -> None:
     used = {r["folder"] for r in rows}
     through = min(r["through"] for r in rows)
     late_batch = min(r["late_batch"] for r in rows)
-    for root in (paths.packed, paths.digest):
+    for root in (paths.packed, paths.digest, paths.states):
         for number, folder in _names(spark, root, "n").items():
             if int(number) not in used and int(number) < max((u for u in used if u is not None), default=0):
                 delete_folder(spark, folder)

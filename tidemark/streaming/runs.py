@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.dedup import KEYS
 from ..operators.expectations import observe
@@ -24,7 +25,7 @@ BRONZE_STORED = stored(BRONZE, *LINEAGE.fields, VERDICT)
 class RunSummary:
     """Totals of one run over all its micro-batches.
 
-    `complete` is false if the session keeps fewer progress reports than the run
+    `complete` is false if the run was not followed and the session keeps fewer progress reports than it
     had batches; the totals then miss the earliest ones. `watermark` is that of the last batch: every row dropped
     so far was at or before it, and the stream adds none there any more. None if there was no batch, or no watermark.
     """
@@ -37,31 +38,97 @@ class RunSummary:
     metrics: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
+def _add(summary: RunSummary, progress) -> None:
+    summary.batches += 1
+    summary.rows_in += progress.numInputRows
+    summary.late_rows += sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
+    mark = (progress.eventTime or {}).get("watermark")
+    if mark:
+        moment = dt.datetime.fromisoformat(mark)
+        summary.watermark = max(summary.watermark or moment, moment)
+    for name, row in (progress.observedMetrics or {}).items():
+        totals = summary.metrics.setdefault(name, {})
+        for key, count in row.asDict().items():
+            totals[key] = totals.get(key, 0) + count
+
+
+class Totals(StreamingQueryListener):
+    """Adds up every progress report of every run as it comes, so no number of batches is too many to be kept."""
+
+    KEPT = 1_000
+
+    def __init__(self):
+        self.runs: dict[str, tuple[RunSummary, threading.Event]] = {}
+        self.followed: set[str] = set()
+
+    def follow(self, query: StreamingQuery) -> StreamingQuery:
+        """Keep the totals of this run until they are asked for."""
+        self.followed.add(str(query.runId))
+        return query
+
+    def onQueryStarted(self, event) -> None:
+        # Called before the start returns. Of other packages' runs only the newest are kept.
+        for name in list(self.runs)[: -self.KEPT]:
+            if name not in self.followed and self.runs[name][1].is_set():
+                del self.runs[name]
+        self.runs[str(event.runId)] = (RunSummary(), threading.Event())
+
+    def onQueryProgress(self, event) -> None:
+        if str(event.progress.runId) in self.runs:
+            _add(self.runs[str(event.progress.runId)][0], event.progress)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.runId) in self.runs:
+            self.runs[str(event.runId)][1].set()
+
+    def of(self, query: StreamingQuery, seconds: float = 60.0) -> RunSummary | None:
+        """The totals of a followed run that has ended; None of any other. Reports come a little later than the end."""
+        name = str(query.runId)
+        if name not in self.followed or name not in self.runs or not self.runs[name][1].wait(seconds):
+            return None
+        self.followed.discard(name)
+        return self.runs.pop(name)[0]
+
+
+_totals: dict[str, Totals] = {}
+
+
+def totals(spark: SparkSession) -> Totals:
+    """The session's listener; it is added when the first stream of this package starts."""
+    application = spark.sparkContext.applicationId
+    if application not in _totals:
+        _totals[application] = Totals()
+        spark.streams.addListener(_totals[application])
+    return _totals[application]
+
+
 def finish(query: StreamingQuery) -> RunSummary:
     """Wait for the run and add up its progress. Raises if the query failed.
 
-    Batches without data report zeros, so totals are sums, never the last value.
+    Batches without data report zeros, so totals are sums, never the last value. Of a query that was not started
+    here only the reports that the session keeps are known.
     """
     query.awaitTermination()
+    told = totals(SparkSession.active()).of(query)
+    if told is not None:
+        return told
     seen = query.recentProgress
     limit = SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates")
     # Spark keeps one report fewer than the limit.
     summary = RunSummary(complete=len(seen) < int(limit) - 1)
     for progress in seen:
-        summary.batches += 1
-        summary.rows_in += progress.numInputRows
-        summary.late_rows += sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
-        mark = (progress.eventTime or {}).get("watermark")
-        if mark:
-            moment = dt.datetime.fromisoformat(mark)
-            summary.watermark = max(summary.watermark or moment, moment)
-        for name, row in (progress.observedMetrics or {}).items():
-            totals = summary.metrics.setdefault(name, {})
-            for key, count in row.asDict().items():
-                totals[key] = totals.get(key, 0) + count
+        _add(summary, progress)
     return summary
 
 
+def _followed(df: DataFrame, path: str, checkpoint: str, *partition_by: str, **options) -> StreamingQuery:
+    listener = totals(df.sparkSession)
+    return listener.follow(append_stream(df, path, checkpoint, partition_by, **options))
+
+
 def bronze_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Store raw rows by verdict, so rejected rows lie beside the kept ones. A source without lineage gets NULLs.
 
@@ -70,7 +137,7 @@ def bronze_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     """
     rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in LINEAGE.fields if f.name not in rows.columns})
     marked = bronze.verdict(observe(rows, bronze.RULES, "bronze"))
-    return append_stream(marked, path, checkpoint, ("verdict",))
+    return _followed(marked, path, checkpoint, "verdict")
 
 
 def _bronze_source(spark: SparkSession, path: str, max_files: int | None) -> DataFrame:
@@ -93,7 +160,7 @@ def silver_stream(
     source = bronze.kept(_bronze_source(spark, bronze_path, max_files))
     rows = silver.build_stream(source, **options)
     by_day = rows.withColumn("dt", F.to_date("observed_at"))
-    return append_stream(by_day, path, checkpoint, ("dt",), state_partitions=state_partitions)
+    return _followed(by_day, path, checkpoint, "dt", state_partitions=state_partitions)
 
 
 @dataclass
@@ -160,4 +227,4 @@ def quarantine_stream(
 ) -> StreamingQuery:
     """Unusable raw rows, with reasons, as JSON lines."""
     rejects = bronze.quarantine(_bronze_source(spark, bronze_path, max_files))
-    return append_stream(rejects, path, checkpoint, fmt="json")
+    return _followed(rejects, path, checkpoint, fmt="json")
