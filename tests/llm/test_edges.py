@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from plain import words
 from pyspark.sql import functions as F
 from tidemark.llm import byte_bpe, common, decontaminate, embedding_dedup, html_blocks, html_extract, language, line_dedup
 from tidemark.llm import near_dedup, queries, secret_scan, toxicity
@@ -328,3 +329,49 @@ def test_decontamination_of_texts_that_repeat_a_word(spark):
     words = decontaminate.item_words(bench.where("item_id = 1"))
     none = spark.createDataFrame([], "word string, n long")
     assert decontaminate.probes(words, none).count() == decontaminate.PROBES
+
+
+def plain_near(text, item, size=10, least=4):
+    """Whether some window of the item is within one edit of some stretch of the text."""
+    doc, own = words(text), words(item)
+    width = min(size, len(own))
+    if width < least:
+        return False
+    for start in range(len(own) - width + 1):
+        row = [0] * (len(doc) + 1)  # a stretch may begin anywhere
+        for i, word in enumerate(own[start : start + width], 1):
+            before, row = row, [i] * (len(doc) + 1)
+            for j, other in enumerate(doc, 1):
+                row[j] = min(before[j - 1] + (word != other), before[j] + 1, row[j - 1] + 1)
+        if min(row) <= 1:
+            return True
+    return False
+
+
+def test_near_passages_against_edit_distances(spark):
+    from test_text_operators import plain_hits
+
+    rng = np.random.default_rng(9)
+    vocabulary = [f"w{i}" for i in range(40)] + ["rare", "x1"]
+    draw = lambda n: [str(w) for w in rng.choice(vocabulary, n)]
+    items = [(i, " ".join(draw(int(rng.integers(2, 26))))) for i in range(30)] + [(90, None), (91, "w1 " * 14), (92, "never seen words of this item that no text has at all")]
+    texts = []
+    for i in range(120):
+        own = words(items[i % 30][1])
+        begin = int(rng.integers(0, max(1, len(own) - 9)))
+        part = own[begin : begin + int(rng.integers(8, 16))]
+        for _ in range(int(rng.integers(0, 3))):
+            at = int(rng.integers(0, len(part)))
+            part = [[*part[:at], "new", *part[at + 1 :]], [*part[:at], *part[at + 1 :]], [*part[:at], "w3", *part[at:]]][int(rng.integers(3))] or part
+        texts.append(" ".join([*draw(int(rng.integers(0, 9))), *part, *draw(int(rng.integers(0, 9)))]))
+    texts += [None, "", "w1 " * 9, "w1 " * 8]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["items"], r["near_items"]) for r in decontaminate.judge(docs, bench, near=True).collect()}
+    near = 0
+    for i, text in enumerate(texts):
+        _, n_hit, found = plain_hits(text, items)
+        want = sorted(k for k, item in items if k not in found and plain_near(text, item))
+        assert got[i] == (n_hit, found, want), (i, text)
+        near += len(want)
+    assert near > 20

@@ -348,7 +348,8 @@ def encode(
 def token_bytes(spark: SparkSession, path: str | None = None) -> DataFrame:
     """(token_id, bytes): the table that decoding joins."""
     ranks = load_ranks(path or public_tokenizers.path(RANKS))
-    return spark.createDataFrame([(i, bytearray(b)) for b, i in ranks.items()], "token_id int, bytes binary")
+    # By Arrow: a list of rows would start Python workers of their own on the executors.
+    return spark.createDataFrame(pa.table({"token_id": pa.array(ranks.values(), pa.int32()), "bytes": pa.array(ranks, pa.binary())}))
 
 
 class Bytes:

@@ -9,7 +9,9 @@
    is where the item would begin. Lists intersect where two probes of an item agree
    on that beginning (exact) or, if asked for, nearly do (proximity).
 5. Check: the item's words are compared at each agreed beginning, word by word,
-   with the whole text of the document.
+   with the whole text of the document. A proximity match is compared too: some window stands in the text but for one word
+   changed, dropped or added. Such an edit touches one probe of three at most, and moves the others by one word, so
+   the two left meet nearly: none is missed.
 
 The benchmark is worked on in blocks of at most `BLOCK_WORDS` words, so what
 travels to every task (a block's words) has a fixed bound; a larger benchmark is
@@ -39,6 +41,8 @@ PROBES = 2
 # With proximity matches: one word may be changed or missing, and two probes of its window still meet.
 NEAR_PROBES = 3
 SLOP = 5
+# Windows of fewer words have no near match.
+NEAR_LEAST = 4
 BLOCK_WORDS = 500_000
 BATCH_BYTES = 8 << 20
 
@@ -140,10 +144,10 @@ def postings(docs: DataFrame, words: set[bytes]) -> DataFrame:
 
 
 def alignments(index: DataFrame, probe_rows: DataFrame, near: bool = False, slop: int = SLOP) -> DataFrame:
-    """(id, item, version, exact): documents and beginnings at which two probes of an item agree.
+    """(id, item, version, exact, near): documents and beginnings at which two probes of an item agree.
 
-    With `near` also documents in which two probes lie within about `slop` words (2 slop at most) of
-    where they should be to each other; exact is empty where that is all. An item of one word needs one probe.
+    With `near` also where two probes lie within about `slop` words (2 slop at most) of where they should be to each
+    other: stretches of 2 slop beginnings, by their first. An item of one word needs one probe.
     """
     met = index.join(probe_rows, "word").select("id", "item", "version", "length", "place", F.explode("positions").alias("position"))
     met = met.withColumn("begin", (F.col("position") - F.col("place")).cast("int"))
@@ -154,8 +158,45 @@ def alignments(index: DataFrame, probe_rows: DataFrame, near: bool = False, slop
         window = F.floor(F.col("begin") / slop)
         spread = met.withColumn("window", F.explode(F.array(window, window - 1)))
         close = spread.groupBy("id", "item", "version", "window").agg(two.alias("two")).where("two")
-        found = found.unionByName(close.select("id", "item", "version", F.lit(None).cast("int").alias("begin")))
-    return found.groupBy("id", "item", "version").agg(F.collect_set("begin").alias("exact"))
+        none = F.lit(None).cast("int")
+        found = found.withColumn("near", none).unionByName(
+            close.select("id", "item", "version", none.alias("begin"), (F.col("window") * slop).cast("int").alias("near"))
+        )
+    else:
+        found = found.withColumn("near", F.lit(None).cast("int"))
+    return found.groupBy("id", "item", "version").agg(F.collect_set("begin").alias("exact"), F.collect_set("near").alias("near"))
+
+
+def _matched_from(text: np.ndarray, item: np.ndarray, begin: int) -> np.ndarray:
+    """For each place of the item, and the one behind it, how many words from there on are those of the text, if the item began at `begin`."""
+    low, high = max(0, -begin), min(len(item), len(text) - begin)
+    same = np.zeros(len(item) + 1, bool)
+    if low < high:
+        same[low:high] = text[begin + low : begin + high] == item[low:high]
+    at = np.arange(len(same))
+    stop = np.minimum.accumulate(np.where(same, len(same), at)[::-1])[::-1]
+    return stop - at
+
+
+def stands_nearly(text: np.ndarray, item: np.ndarray, begins: range, size: int) -> bool:
+    """Whether a window of the item stands in the text, at one of `begins` or next to one, with one word changed, dropped or added at most.
+
+    A window is `size` words, or the whole of a shorter item; one of fewer than `NEAR_LEAST` words has no near match.
+    """
+    width = min(size, len(item))
+    if width < NEAR_LEAST:
+        return False
+    start = np.arange(len(item) - width + 1)
+    matched = {b: _matched_from(text, item, b) for b in range(begins.start - 1, begins.stop + 1)}
+    for begin in begins:
+        head = np.minimum(matched[begin][start], width)
+        place, rest = start + head, width - head  # the first word that differs, and how many there are from it on
+        # Changed: the words behind it are as they should be. Dropped: they come a word earlier. Added: it and they come a word later.
+        after = np.minimum(place + 1, len(item))
+        for other, at, needed in ((begin, after, rest - 1), (begin - 1, after, rest - 1), (begin + 1, place, rest)):
+            if (matched[other][at] >= needed).any():
+                return True
+    return False
 
 
 def _hits(words: list[bytes], found: list[dict], size: int) -> tuple[int, list[int], list[int]]:
@@ -178,7 +219,10 @@ def _hits(words: list[bytes], found: list[dict], size: int) -> tuple[int, list[i
                 hit[begin + low + start] += 1
                 hit[begin + low + end] -= 1
                 same_item = True
-        (exact if same_item else near).add(one["item"])
+        if same_item:
+            exact.add(one["item"])
+        elif one["item"] not in near and any(stands_nearly(text, item, range(b - 1, b + 2 * SLOP + 1), size) for b in one["near"] or ()):
+            near.add(one["item"])
     in_order = lambda ids: sorted(ids, key=lambda i: (i is None, i or 0))
     return int((np.cumsum(hit) > 0).sum()), in_order(exact), in_order(near - exact)
 
@@ -196,7 +240,7 @@ def judge(
 ) -> DataFrame:
     """(doc_id, n_words, n_hit, items, near_items, contaminated), one row per row of `docs`.
 
-    items: ids whose windows occur; near_items: ids with a proximity match and no window (looked for with `near`).
+    items: ids whose windows occur; near_items: ids with a proximity match and no window (with `near`): a window but for one word changed, dropped or added.
     """
     return _judge(docs, items, size, doc_id, text, item_id, item_text, near, block_words).drop("key")
 
@@ -206,15 +250,15 @@ def _judge(docs, items, size, doc_id="doc_id", text="text", item_id="item_id", i
     narrow(docs.sparkSession)
     texts = docs.select(_key(doc_id, text).alias("id"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id"))
     words = settle(item_words(items, item_id, item_text, size), "item-words")
-    blocks = -(-words.count() // block_words)
-    found = docs.sparkSession.createDataFrame([], "id long, item long, version long, exact array<int>")
+    blocks = max(1, -(-words.count() // block_words))
+    found = None
     for block in range(blocks):
         part = words if blocks == 1 else words.where(F.pmod(F.xxhash64("item", "version"), F.lit(blocks)) == block)
         found = found.unionByName(_look_up(texts, part, near)) if block else _look_up(texts, part, near)
     whole = words.groupBy("item", "version").agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("w"))
     whole = whole.select("item", "version", F.array_join("w.word", " ").alias("words"))
     same = found["version"].eqNullSafe(whole["version"]) & found["item"].eqNullSafe(whole["item"])
-    met = found.join(whole, same).select("id", found["item"], "words", "exact").groupBy("id").agg(F.collect_list(F.struct("item", "words", "exact")).alias("found"))
+    met = found.join(whole, same).select("id", found["item"], "words", "exact", "near").groupBy("id").agg(F.collect_list(F.struct("item", "words", "exact", "near")).alias("found"))
     return _compare(texts.join(settle(met, "alignments"), "id", "left").select("id", "text", "found", "doc_id"), size)
 
 
