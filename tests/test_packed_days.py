@@ -164,6 +164,9 @@ def test_tidy_deletes_only_what_no_kept_reader_needs(spark, place):
     # The stream goes on, and what it adds is read with the rest.
     land(landing, "e.jsonl", capture("2024-01-31T20:00:00Z", *"abc"), "2024-01-31", "20")
     update = medallion.run(spark, landing, layout, "s", "2024-01-31 20:05:00", state_partitions=4)
+    assert (update.late_rate, update.late_alert) == (0.0, False)
+    late = medallion.Update(update.bronze, update.silver, medallion.Audit(rows=100, quarantined=0, repaired=6), 1.0, True)
+    assert (late.late_rate, late.late_alert) == (0.06, True)
     assert update.audit.repaired == 0 and len(typed_keys(spark, layout)) == len(keys) + 3
     assert medallion.momentum_view(spark, layout).count() == 3
     assert read_table(spark, layout.table("bronze")).count() > 0

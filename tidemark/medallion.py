@@ -68,6 +68,16 @@ class Update:
     def drop_alert(self) -> bool:
         return self.drop_rate > monitors.MAX_DROP_RATE
 
+    @property
+    def late_rate(self) -> float:
+        """Share of the update's raw rows that came behind the watermark and had to be repaired."""
+        return self.audit.repaired / self.audit.rows if self.audit.rows else 0.0
+
+    @property
+    def late_alert(self) -> bool:
+        """Many late rows: a back-fill, a slow source, or a watermark that one wrong capture time has moved too far."""
+        return self.late_rate > monitors.MAX_LATE_RATE
+
 
 def bronze_table(spark: SparkSession, layout: Layout) -> DataFrame:
     return bronze.kept(read_table(spark, layout.table("bronze"), BRONZE_STORED))

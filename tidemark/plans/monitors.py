@@ -15,6 +15,8 @@ FRESHNESS_SECONDS = 15 * 60
 LATENCY_SECONDS = 5 * 60
 MIN_SYMBOLS = 100
 MAX_DROP_RATE = 0.05
+# Rows behind the watermark are lost rows but for the repair: the same limit.
+MAX_LATE_RATE = MAX_DROP_RATE
 CADENCE_MINUTES = 15
 
 
