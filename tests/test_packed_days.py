@@ -28,12 +28,12 @@ def day_of(number):
 
 @pytest.fixture
 def place(spark, tmp_path):
-    """A landing area and a table with many updates over three days, one file an hour and update."""
+    """A landing area and a table of three days, each of three captures and a batch of its own."""
     landing, layout = str(tmp_path / "in"), medallion.Layout(str(tmp_path / "tables"))
     for day in (28, 29, 30):
         for hour in ("01", "09", "17"):
             land(landing, "a.jsonl", capture(f"2024-01-{day}T{hour}:00:00Z", *"abcdef"), f"2024-01-{day}", hour)
-    _, typed, _ = medallion.take_in(spark, landing, layout, "s", max_files=1, state_partitions=4)
+    _, typed, _ = medallion.take_in(spark, landing, layout, "s", max_files=3, state_partitions=4)
     return landing, layout, typed
 
 
