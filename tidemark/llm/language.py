@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SLICES, batches, in_train, slice_of, table
+from tidemark.llm.common import SLICES, batches, in_train, settle, slice_of, table
 
 SLOTS = 1 << 15
 GRAMS = (1, 2, 3)
@@ -102,7 +102,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
 
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where(in_train("id") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("texts"))
+    # A row a language, stored: so its true size tells that it may travel to the texts, which need no shuffle.
+    sizes = settle(rows.groupBy("lang").agg(F.count("*").alias("texts")), "languages")
     share = sizes.select("lang", F.floor(F.lit(float(SLICES) * most) / F.col("texts")).alias("share"))
     chosen = rows.join(share, "lang").where(slice_of("id", "text") < F.col("share")).select("id", "text", "lang")
     found = chosen.mapInArrow(run, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
