@@ -207,3 +207,53 @@ def test_totals_of_a_run_need_no_kept_reports(spark, tmp_path):
     assert typed.complete and typed.rows_in == 10 and typed.watermark is not None
     again, typed, _ = medallion.take_in(spark, landing, layout, "s", state_partitions=4)
     assert again.rows_in == 0 and typed.rows_in == 0
+
+
+def test_each_closed_day_is_packed_by_a_task_of_its_own(spark, place):
+    _, layout, typed = place
+    medallion.pack(spark, layout, typed)
+    names = [os.path.basename(f).split("-")[1] for f in data_files(medallion.day_paths(layout).packed)]
+    assert len(names) == len(set(names)) == 2
+
+
+def test_small_days_stay_whole_beside_a_large_one(spark, tmp_path):
+    paths = packed_days.DayPaths.of(str(tmp_path / "t"))
+    rows = spark.range(0, 21_000, 1, 20).selectExpr(
+        "concat('s', id % 97) AS symbol", "timestamp_seconds(1706400000 + IF(id < 20000, id, 86400 * (1 + id % 3) + id)) AS observed_at"
+    )
+    typed = rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in packed_days.SILVER if f.name not in rows.columns])
+    typed.withColumn("dt", F.to_date("observed_at")).write.partitionBy("dt").parquet(paths.live)
+    size = sum(os.path.getsize(f) for f in data_files(f"{paths.live}/dt=2024-01-28"))
+    written = pack_closed_days(spark, paths, dt.datetime(2024, 2, 10, tzinfo=dt.timezone.utc), file_bytes=size // 2)
+    assert written == [day_of(28), day_of(29), day_of(30), day_of(31)]
+    folder = f"{paths.packed}/n=000000000001"
+    assert [len(data_files(f"{folder}/dt={day}")) for day in written[1:]] == [1, 1, 1]
+    assert 2 <= len(data_files(f"{folder}/dt={written[0]}")) <= 4
+    keys = typed_rows(spark, paths).select("symbol", "observed_at")
+    assert keys.count() == 21_000 and keys.exceptAll(rows).count() == 0
+
+
+def test_a_first_update_looks_nothing_up(spark, tmp_path, monkeypatch):
+    from tidemark.streaming import runs
+
+    landing, layout = str(tmp_path / "in"), medallion.Layout(str(tmp_path / "tables"))
+    asked = []
+    monkeypatch.setattr(runs, "known_keys", lambda *args: asked.append(1) or known_keys(*args))
+    for day in (28, 30):
+        land(landing, "a.jsonl", capture(f"2024-01-{day}T01:00:00Z", *"abc"), f"2024-01-{day}", "01")
+    # One batch takes both days in: it has dropped nothing, whatever the watermark it leaves.
+    _, typed, audit = medallion.take_in(spark, landing, layout, "s", state_partitions=4)
+    assert (audit.rows, audit.repaired, asked) == (6, 0, [])
+    assert typed.watermark.date() == day_of(30) and typed.dropped_to < typed.watermark
+    # Rows that the next one drops are looked up. So are rows left over from a run that ended before its audit.
+    land(landing, "b.jsonl", capture("2024-01-29T01:00:00Z", *"abc"), "2024-01-29", "01")
+    _, typed, audit = medallion.take_in(spark, landing, layout, "s", state_partitions=4)
+    assert (audit.repaired, asked) == (3, [1]) and typed.dropped_to.date() == day_of(30)
+    land(landing, "c.jsonl", capture("2024-01-27T01:00:00Z", *"abc"), "2024-01-27", "01")
+    with monkeypatch.context() as broken:
+        broken.setattr(medallion, "audit_stream", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            medallion.take_in(spark, landing, layout, "s", state_partitions=4)
+    _, typed, audit = medallion.take_in(spark, landing, layout, "s", state_partitions=4)
+    assert typed.dropped_to is None and audit.repaired == 3
+    assert len(typed_keys(spark, layout)) == 12

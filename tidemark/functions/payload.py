@@ -80,8 +80,8 @@ def with_rescued(df: DataFrame, payload: str, known: Iterable[str], name: str =
 
     As in `parse`, a generator unpacks the document, so it is read once whatever is filtered above.
     """
-    expected = F.array(*[F.lit(k) for k in known])
+    expected = list(known)
     fields = F.from_json(payload, T.MapType(T.StringType(), T.StringType()))
-    extra = F.map_filter(fields, lambda key, _: ~F.array_contains(expected, key))
+    extra = F.map_filter(fields, lambda key, _: ~key.isin(expected))
     opened = df.select("*", F.inline(F.array(F.struct(extra.alias("_extra")))))
     return opened.withColumn(name, F.when(F.cardinality("_extra") > 0, F.to_json("_extra"))).drop("_extra")

@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Collection, Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,10 +93,15 @@ def _day_folder(root: str, number: int, day: dt.date) -> str:
     return f"{root}/n={number:012d}/dt={day.isoformat()}"
 
 
+def _no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty frame that the optimizer leaves out; one made of an empty list starts Python workers."""
+    return spark.range(0).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def _days_of(spark: SparkSession, root: str, schema: T.StructType, folders: Iterable[tuple[dt.date, int]]) -> DataFrame:
     paths = [_day_folder(root, number, day) for day, number in folders]
     if not paths:
-        return spark.createDataFrame([], schema)
+        return _no_rows(spark, schema)
     return spark.read.schema(schema).option("basePath", root).parquet(*paths)
 
 
@@ -118,7 +124,7 @@ def typed_rows(
         for day, number in sorted(state.folders.items())
         if (since is None or day >= since) and (days is None or day in days) and (packed_days is None or day in packed_days)
     ]
-    rows = read_table(spark, paths.live, TYPED) if exists(spark, paths.live) else spark.createDataFrame([], TYPED)
+    rows = read_table(spark, paths.live, TYPED) if exists(spark, paths.live) else _no_rows(spark, TYPED)
     if state.through is not None:
         rows = rows.where(F.col("dt") > F.lit(state.through))
         whole = _days_of(spark, paths.packed, stored(SILVER, FOLDER, DAY), wanted)
@@ -137,7 +143,7 @@ def typed_rows(
 def _late(spark: SparkSession, paths: DayPaths, state: Packed) -> DataFrame:
     """Late rows that are not packed yet."""
     if not exists(spark, paths.late):
-        return spark.createDataFrame([], LATE)
+        return _no_rows(spark, LATE)
     late = read_table(spark, paths.late, LATE)
     if state.through is None:
         return late
@@ -168,7 +174,8 @@ def pack_closed_days(
     """Pack the days that end at or before `watermark`, and packed days that got late rows; returns the days written.
 
     `watermark` must be one that the stream has used. Run it when the stream and the repair of late rows have
-    ended; readers need not wait. Files hold about `file_bytes` as stored before, in ranges of (day, key, time).
+    ended; readers need not wait. Files hold about `file_bytes` as stored before, in ranges of (day, key, time). A day
+    of no more is one file by one task; a larger one is cut into as many ranges as it fills files.
     """
     state = packed(spark, paths)
     through = watermark.date() - dt.timedelta(days=1)
@@ -194,11 +201,20 @@ def pack_closed_days(
     for day in sources.keys() & state.folders.keys():
         sources[day].append(_day_folder(paths.packed, state.folders[day], day))
 
-    size = sum(_bytes(spark, path) for own in sources.values() for path in own)
+    sizes = {day: sum(_bytes(spark, path) for path in own) for day, own in sources.items()}
     number = max((int(n) for n in _names(spark, paths.packed, "n")), default=0) + 1
     folder = f"{paths.packed}/n={number:012d}"
-    rows = typed_rows(spark, paths, days=sources.keys(), late_rows=F.col("batch") <= late_batch)
-    ranges = rows.repartitionByRange(-(-size // file_bytes) or 1, *LAYOUT).sortWithinPartitions(*LAYOUT)
+    whole = {day for day, size in sizes.items() if size <= file_bytes}
+    large = sizes.keys() - whole
+    tasks = []
+    if whole:
+        # Ranges of days alone never cut one; with more ranges asked for than there are days, each day is one.
+        rows = typed_rows(spark, paths, days=whole, late_rows=F.col("batch") <= late_batch)
+        tasks.append(rows.repartitionByRange(4 * len(whole), "dt"))
+    if large:
+        rows = typed_rows(spark, paths, days=large, late_rows=F.col("batch") <= late_batch)
+        tasks.append(rows.repartitionByRange(-(-sum(sizes[day] for day in large) // file_bytes), *LAYOUT))
+    ranges = reduce(DataFrame.unionByName, tasks).sortWithinPartitions(*LAYOUT)
     ranges.write.partitionBy("dt").parquet(folder)
     written = sorted(_days(spark, folder))
     _write_digest(spark, paths, number, folder)
